@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import RecoRules
@@ -30,12 +30,10 @@ def with_label(rows: DataFrame, category: str = "category", price: str = "unit_p
     return joined.withColumn("product_label", F.coalesce(tier["label"], plain)).drop("label_key", "tiers")
 
 
-def display_rows(responses: DataFrame, rules: RecoRules = RecoRules()) -> DataFrame:
-    """One row per recommended product as a page would show it."""
-    best = F.array_max(F.transform("recommendations", lambda r: r["score"]))
-    rows = responses.withColumn("_best", best).select(
-        "customer_id", "strategy", "avg_spend_per_item", "_best", F.inline("recommendations")
-    )
+def display_rows(rows: DataFrame, rules: RecoRules = RecoRules()) -> DataFrame:
+    """Recommendation rows as a page would show them. A request has at most 20 rows."""
+    request = Window.partitionBy("customer_id", "n", "asked_category")
+    rows = rows.withColumn("_best", F.max("score").over(request))
     spend = F.col("avg_spend_per_item")
     band = F.concat(
         F.lit(" · avg spend R$"), _rounded(spend), F.lit("/item · band R$"),

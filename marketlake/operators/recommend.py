@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import RecoRules
@@ -30,29 +30,42 @@ def rejected_requests(requests: DataFrame) -> DataFrame:
     return requests.filter(F.coalesce(F.col("customer_id").cast("string"), F.lit("")) == "")
 
 
-def with_metadata(item_factors: DataFrame, products: DataFrame) -> DataFrame:
-    """Item factors with category, price and stock.
+def _pool_entry() -> Column:
+    return F.struct("score", "product_id", *_META, "on_shelf")
 
-    Metadata is joined to the items, once each, not to the candidates of every customer,
-    where a popular product would repeat as a hot join key.
-    """
-    return item_factors.join(products.select("product_id", *_META), "product_id", "left")
+
+def _as_list(ranked: DataFrame, order: list[Column]) -> DataFrame:
+    """One row holding a short, already limited frame as an ordered array."""
+    keyed = ranked.select(F.struct(*order, _pool_entry().alias("c")).alias("e"))
+    return keyed.agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["c"]).alias("pool"))
 
 
-def _candidate() -> Column:
-    return F.struct("score", "product_id", *_META)
+def _popular_list(item_factors: DataFrame, products: DataFrame, k: int) -> DataFrame:
+    """The k most popular items with metadata, as one row; cut to k before the join."""
+    top = popular_items(item_factors, k).join(products.select("product_id", *_META), "product_id", "left")
+    return _as_list(top.withColumn("on_shelf", F.lit(False)), [(-F.col("score")).alias("o"), F.col("product_id").alias("p")])
 
 
-def _as_list(ranked: DataFrame, order: list) -> DataFrame:
-    """One row holding a short, already limited frame as an ordered array."""
-    keyed = ranked.select(F.struct(*order, _candidate().alias("c")).alias("e"))
-    return keyed.agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["c"]).alias("pool"))
+def _shelf_list(products: DataFrame, n: int) -> DataFrame:
+    """The first n catalogue products, without score, as one row."""
+    first = products.select("product_id", *_META).orderBy("product_id").limit(n)
+    first = first.withColumns({"score": F.lit(None).cast("double"), "on_shelf": F.lit(True)})
+    return _as_list(first, [F.col("product_id").alias("p")])
 
 
-def personal_pools(user_factors: DataFrame, items: DataFrame, rules: RecoRules = RecoRules()) -> DataFrame:
+def personal_pools(
+    user_factors: DataFrame, item_factors: DataFrame, products: DataFrame, rules: RecoRules = RecoRules()
+) -> DataFrame:
     """(customer_id, pool): each user's best candidates in order, at most `max_pool`."""
-    top = top_scores(user_factors, items, rules.max_pool, None, rules.user_block, rules.item_block)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", _candidate().alias("c"))))
+    top = top_scores(
+        user_factors,
+        item_factors,
+        rules.max_pool,
+        metadata=products.select("product_id", *_META),
+        user_block=rules.user_block,
+        item_block=rules.item_block,
+    ).withColumn("on_shelf", F.lit(False))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", _pool_entry().alias("c"))))
     return top.groupBy("customer_id").agg(F.transform(ordered, lambda e: e["c"]).alias("pool"))
 
 
@@ -62,18 +75,6 @@ def _in_band(price: Column, spend: Column, band: tuple[float, float]) -> Column:
     return free | price.between(spend * band[0], spend * band[1])
 
 
-def choose(pool: Column, n: Column, category: Column, spend: Column, rules: RecoRules = RecoRules()) -> Column:
-    """The first n of a pool: those in the strict price band, then those in the relaxed band."""
-    wanted = F.filter(F.slice(pool, F.lit(1), F.least(n * rules.pool_factor, F.lit(rules.max_pool))),
-                      lambda c: category_matches(c["category"], category))
-    strict = F.filter(wanted, lambda c: _in_band(c["unit_price"], spend, rules.strict))
-    relaxed = F.filter(
-        wanted,
-        lambda c: ~_in_band(c["unit_price"], spend, rules.strict) & _in_band(c["unit_price"], spend, rules.relaxed),
-    )
-    return F.slice(F.concat(strict, relaxed), F.lit(1), n)
-
-
 def recommend(
     requests: DataFrame,
     user_factors: DataFrame,
@@ -82,75 +83,89 @@ def recommend(
     avg_spend: DataFrame,
     rules: RecoRules = RecoRules(),
 ) -> DataFrame:
-    """One response row per request, with its recommendations as an array in rank order.
+    """Recommendation rows for every distinct request (customer_id, n, asked_category).
+
+    Known customers draw from their own pool of min(8n, 200) best items, others from the most
+    popular ones. Candidates in the strict price band come first, then those in the relaxed
+    band, in score order; a request left with none gets the first n catalogue products.
 
-    Known customers get their own pool, others the popular one; when no candidate passes, the
-    first n catalogue products. The two shared lists are limited to 200 and 20 entries and
-    reach the rows as scalar subqueries, so no cross join is needed.
+    Equal requests have equal answers, so they are answered once; that also removes a customer
+    who asks very often as a hot key. The two shared lists (200 and 20 entries at most) reach
+    the rows as scalar subqueries, so no cross join is needed. Candidates are filtered row by
+    row and cut to n per request before they are shuffled.
     """
-    wanted = normalise_requests(requests, rules)
-    items = with_metadata(item_factors, products)
+    wanted = normalise_requests(requests, rules).select("customer_id", "n", F.col("category").alias("asked_category"))
+    wanted = wanted.distinct()
     asked = user_factors.join(wanted.select("customer_id").distinct(), "customer_id", "left_semi")
-    pools = personal_pools(asked, items, rules)
-    popular = _as_list(popular_items(items, rules.max_pool), [(-F.col("score")).alias("o"), F.col("product_id").alias("p")])
-    first = products.orderBy("product_id").limit(rules.max_n).withColumn("score", F.lit(None).cast("double"))
-    shelf = _as_list(first, [F.col("product_id").alias("p")])
-
-    joined = wanted.join(pools, "customer_id", "left").join(avg_spend, "customer_id", "left")
-    known = F.col("pool").isNotNull()
-    spend = F.col("avg_spend_per_item")
-    chosen = (
-        joined.withColumns({"strategy": F.when(known, "als_personalised").otherwise("als_popular"),
-                            "pool": F.coalesce(F.col("pool"), popular.scalar())})
-        .withColumn("picked", choose(F.col("pool"), F.col("n"), F.col("category"), spend, rules))
-        .drop("pool")
+    pools = personal_pools(asked, item_factors, products, rules)
+    popular = _popular_list(item_factors, products, rules.max_pool)
+    shelf = _shelf_list(products, rules.max_n)
+
+    pool_size = F.least(F.col("n") * rules.pool_factor, F.lit(rules.max_pool))
+    own = F.slice(F.coalesce(F.col("pool"), popular.scalar()), F.lit(1), pool_size)
+    candidates = (
+        wanted.join(pools, "customer_id", "left")
+        .join(avg_spend, "customer_id", "left")
+        .select(
+            "customer_id",
+            "n",
+            "asked_category",
+            F.col("avg_spend_per_item").alias("spend"),
+            F.when(F.col("pool").isNotNull(), "als_personalised").otherwise("als_popular").alias("model"),
+            F.posexplode_outer(F.concat(own, F.slice(shelf.scalar(), F.lit(1), F.col("n")))).alias("pos", "c"),
+        )
+        .select("*", "c.*")
     )
-    nothing = F.coalesce(F.size("picked"), F.lit(0)) <= 0
-    chosen = chosen.withColumns(
-        {
-            "strategy": F.when(nothing, "catalog_fallback").otherwise(F.col("strategy")),
-            "picked": F.when(nothing, F.slice(shelf.scalar(), F.lit(1), F.col("n"))).otherwise(F.col("picked")),
-        }
+    spend, price = F.col("spend"), F.col("unit_price")
+    fits = category_matches(F.col("category"), F.col("asked_category"))
+    step = (
+        F.when(F.col("on_shelf"), 3)
+        .when(fits & _in_band(price, spend, rules.strict), 1)
+        .when(fits & _in_band(price, spend, rules.relaxed), 2)
     )
-    source = F.col("strategy")
-
-    def entry(c: Column, i: Column) -> Column:
-        return F.struct(
-            c["product_id"].alias("product_id"),
-            round_half_up(F.least(c["score"], F.when(c["score"].isNotNull(), F.lit(rules.score_cap))), 3).alias("score"),
-            (i + 1).cast("int").alias("rank"),
-            c["category"].alias("category"),
-            c["unit_price"].alias("unit_price"),
-            c["stock_level"].alias("stock_level"),
-            source.alias("source"),
-        )
-
-    return chosen.select(
-        "customer_id",
-        F.transform("picked", entry).alias("recommendations"),
-        F.size("picked").alias("count"),
-        "strategy",
+    request = ["customer_id", "n", "asked_category"]
+    order = Window.partitionBy(*request).orderBy("step", "pos")
+    rows = Window.partitionBy(*request)
+    ranked = (
+        candidates.withColumn("step", step)
+        .filter(F.col("step").isNotNull())
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= F.lit(rules.max_n))
+        .withColumn("best_step", F.min("step").over(rows))
+        .filter((F.col("rank") <= F.col("n")) & ((F.col("step") < 3) | (F.col("best_step") == 3)))
+    )
+    strategy = F.when(F.col("best_step") == 3, "catalog_fallback").otherwise(F.col("model"))
+    return ranked.select(
+        *request,
+        F.count(F.lit(1)).over(rows).cast("int").alias("count"),
+        strategy.alias("strategy"),
         F.when(spend != 0.0, round_half_up(spend)).alias("avg_spend_per_item"),
+        "product_id",
+        round_half_up(F.when(F.col("score") > rules.score_cap, rules.score_cap).otherwise(F.col("score")), 3).alias("score"),
+        "rank",
+        "category",
+        "unit_price",
+        "stock_level",
+        strategy.alias("source"),
     )
 
 
-def response_rows(responses: DataFrame) -> DataFrame:
-    """Responses as one row per recommended product."""
-    return responses.select(
-        "customer_id", "count", "strategy", "avg_spend_per_item", F.inline("recommendations")
-    )
+def responses(rows: DataFrame) -> DataFrame:
+    """Recommendation rows nested to one response per request, in rank order."""
+    entry = F.struct("rank", "product_id", "score", "category", "unit_price", "stock_level", "source")
+    return rows.groupBy(
+        "customer_id", "n", "asked_category", "count", "strategy", "avg_spend_per_item"
+    ).agg(F.array_sort(F.collect_list(entry)).alias("recommendations"))
 
 
-def list_summary(responses: DataFrame) -> DataFrame:
+def list_summary(rows: DataFrame) -> DataFrame:
     """Up to three categories (in alphabetical order) and the price range of each list."""
-    recs = F.col("recommendations")
-    categories = F.filter(F.transform(recs, lambda r: r["category"]), lambda c: F.coalesce(c, F.lit("")) != "")
-    prices = F.filter(F.transform(recs, lambda r: r["unit_price"]), lambda p: F.coalesce(p, F.lit(0.0)) != 0.0)
-    return responses.select(
-        "customer_id",
-        F.slice(F.array_sort(F.array_distinct(categories)), 1, 3).alias("categories"),
-        F.array_min(prices).alias("min_price"),
-        F.array_max(prices).alias("max_price"),
+    category = F.when(F.col("category") != "", F.col("category"))
+    price = F.when(F.col("unit_price") != 0.0, F.col("unit_price"))
+    return rows.groupBy("customer_id", "n", "asked_category").agg(
+        F.slice(F.array_sort(F.collect_set(category)), 1, 3).alias("categories"),
+        F.min(price).alias("min_price"),
+        F.max(price).alias("max_price"),
     )
 
 
@@ -162,8 +177,15 @@ def bulk_lists(
     Bought products are left out before the cut to 20. The popular list is limited to 20
     entries and attached as a scalar subquery.
     """
-    items = with_metadata(item_factors, products)
-    top = top_scores(user_factors, items, rules.bulk_n, seen, rules.user_block, rules.item_block)
+    top = top_scores(
+        user_factors,
+        item_factors,
+        rules.bulk_n,
+        seen,
+        products.select("product_id", "category", "unit_price"),
+        rules.user_block,
+        rules.item_block,
+    )
     entry = F.struct(
         F.col("rank"),
         F.struct("product_id", round_half_up(F.col("score"), 4).alias("score"), "category", "unit_price").alias("c"),
@@ -171,8 +193,7 @@ def bulk_lists(
     lists = top.groupBy("customer_id").agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["c"]).alias("recommendations")
     )
-    popular = _as_list(popular_items(items, rules.bulk_n), [(-F.col("score")).alias("o"), F.col("product_id").alias("p")])
-    fallback = popular.select(
+    fallback = _popular_list(item_factors, products, rules.bulk_n).select(
         F.transform(
             "pool",
             lambda c: F.struct(

@@ -62,12 +62,15 @@ def top_scores(
     items: DataFrame,
     k: int,
     seen: DataFrame | None = None,
+    metadata: DataFrame | None = None,
     user_block: int = 4096,
     item_block: int = 16384,
 ) -> DataFrame:
     """Each user's k best items by dot product, with rank; ties go to the smaller product_id.
 
-    `users` is (customer_id, factors), `items` (product_id, factors, more columns to carry).
+    `users` is (customer_id, factors), `items` (product_id, factors). `metadata` has one row per
+    product_id; it is joined to the items, once each, and not to the candidates of every user,
+    where a popular product would repeat as a hot join key.
     With `seen` (customer_id, product_id) those pairs are left out before the cut, inside each
     block, so heavy buyers still get k items. Seen lists are per (user, item block) and hence
     no longer than a block.
@@ -90,6 +93,8 @@ def top_scores(
             .agg(F.collect_list("product_id").alias("seen"))
         )
         left = left.join(lists, ["customer_id", "ib"], "left")
+    if metadata is not None:
+        items = items.join(metadata, "product_id", "left")
     carried = [c for c in items.columns if c != "factors"]
     right = items.select("*", block("product_id", item_blocks).alias("ib"), every(user_blocks).alias("ub"))
 

@@ -28,6 +28,7 @@ from marketlake.operators import (
     velocity,
 )
 from marketlake.plans import lake_queries, reports
+from marketlake.sources import lake
 from marketlake.sources import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,8 +189,8 @@ def cohort_activity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scored_with_metadata(spark: SparkSession, d: str) -> DataFrame:
-    items = recommend.with_metadata(t.item_factors(spark, d), t.priced_products(spark, d))
-    top = scoring.top_scores(t.user_factors(spark, d), items, 5)
+    products = t.priced_products(spark, d)
+    top = scoring.top_scores(t.user_factors(spark, d), t.item_factors(spark, d), 5, metadata=products)
     return top.select("customer_id", "rank", "product_id", "category", "unit_price", "stock_level")
 
 
@@ -520,10 +521,15 @@ def popular_items(spark: SparkSession, d: str) -> DataFrame:
     return top.withColumn("score", round_half_up(F.col("score"), 6))
 
 
-def _responses(spark: SparkSession, d: str) -> DataFrame:
+def _stored_products(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue written once as a table, as the recommender reads it."""
+    return lake.stored(t.priced_products(spark, d), "products")
+
+
+def _answers(spark: SparkSession, d: str) -> DataFrame:
     spend = curated.spend_per_item(t.with_item_count(t.orders(spark, d), spark, d))
     return recommend.recommend(
-        t.requests(spark, d), t.user_factors(spark, d), t.item_factors(spark, d), t.priced_products(spark, d), spend
+        t.requests(spark, d), t.user_factors(spark, d), t.item_factors(spark, d), _stored_products(spark, d), spend
     )
 
 
@@ -532,7 +538,7 @@ def request_options(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recommendations(spark: SparkSession, d: str) -> DataFrame:
-    return recommend.response_rows(_responses(spark, d))
+    return _answers(spark, d).drop("n", "asked_category")
 
 
 def fallback_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -540,17 +546,17 @@ def fallback_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def list_summary(spark: SparkSession, d: str) -> DataFrame:
-    out = recommend.list_summary(_responses(spark, d))
+    out = recommend.list_summary(_answers(spark, d)).drop("n", "asked_category")
     return out.withColumn("categories", F.array_join("categories", ","))
 
 
 def display_rows(spark: SparkSession, d: str) -> DataFrame:
-    return display.display_rows(_responses(spark, d))
+    return display.display_rows(_answers(spark, d))
 
 
 def bulk_lists(spark: SparkSession, d: str) -> DataFrame:
     lists = recommend.bulk_lists(
-        t.user_factors(spark, d), t.item_factors(spark, d), t.priced_products(spark, d), _seen(spark, d)
+        t.user_factors(spark, d), t.item_factors(spark, d), _stored_products(spark, d), _seen(spark, d)
     )
     return lists.select(
         "customer_id",
