@@ -20,13 +20,12 @@ def metric_series(metrics: DataFrame, period_s: int, statistic: str) -> DataFram
     )
 
 
-def alarms(metrics: DataFrame, rule: AlarmRule) -> DataFrame:
-    """Windows at which the rule is in alarm.
+def breaches(series: DataFrame, rule: AlarmRule) -> DataFrame:
+    """Windows of a series at which the rule is in alarm.
 
     The last `periods` windows must all breach. A missing window does not breach, so window
     starts are compared, not row positions. Rows per metric are bounded by time, not by volume.
     """
-    series = metric_series(metrics, rule.period_s, rule.statistic)
     breach = F.col("stat") >= rule.threshold if rule.comparator == "ge" else F.col("stat") > rule.threshold
     breaching = series.filter(breach)
     if rule.periods > 1:
@@ -36,3 +35,8 @@ def alarms(metrics: DataFrame, rule: AlarmRule) -> DataFrame:
         run = F.lag("window_start", back).over(by_time) == F.col("window_start") - span
         breaching = breaching.withColumn("_run", run).filter("_run").drop("_run")
     return breaching.select(F.lit(rule.name).alias("alarm"), "metric", "window_start", "stat")
+
+
+def alarms(metrics: DataFrame, rule: AlarmRule) -> DataFrame:
+    """Alarms over raw metric rows (metric, ts, value)."""
+    return breaches(metric_series(metrics, rule.period_s, rule.statistic), rule)

@@ -47,17 +47,28 @@ def latest_stock(events: DataFrame) -> DataFrame:
     A struct maximum and minimum: both combine map-side, so a product with very many
     updates reaches the shuffle as one row per task.
     """
+    return stock_view(stock_changes(events))
+
+
+def stock_changes(events: DataFrame) -> DataFrame:
+    """Updates of one batch reduced to a row per product: its newest state and first category."""
     newest = F.struct(
-        "timestamp", "event_id", "current_stock", F.coalesce("warehouse_id", F.lit("unknown")).alias("warehouse_id")
+        "timestamp", "event_id", F.col("current_stock").alias("stock_level"),
+        F.coalesce("warehouse_id", F.lit("unknown")).alias("warehouse_id"),
     )
     oldest = F.struct("timestamp", "event_id", F.coalesce("category", F.lit("unknown")).alias("category"))
+    return events.groupBy("product_id").agg(F.max(newest).alias("newest"), F.min(oldest).alias("oldest"))
+
+
+def stock_view(changes: DataFrame) -> DataFrame:
+    """Current state per product over any number of batches of changes."""
     return (
-        events.groupBy("product_id")
-        .agg(F.max(newest).alias("new"), F.min(oldest).alias("old"))
+        changes.groupBy("product_id")
+        .agg(F.max("newest").alias("new"), F.min("oldest").alias("old"))
         .select(
             "product_id",
             "old.category",
-            F.col("new.current_stock").alias("stock_level"),
+            "new.stock_level",
             F.col("new.timestamp").alias("last_updated"),
             "new.warehouse_id",
         )

@@ -75,7 +75,10 @@ def top_scores(
     block, so heavy buyers still get k items. Seen lists are per (user, item block) and hence
     no longer than a block.
     """
-    user_blocks = max(1, -(-users.count() // user_block))
+    n_users = users.count()
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    # At least one group per core, as long as a block keeps a few hundred users.
+    user_blocks = max(1, -(-n_users // user_block), min(cores, n_users // _ROWS_AT_ONCE))
     item_blocks = max(1, -(-items.count() // item_block))
 
     def block(col: str, n: int):

@@ -1 +1,332 @@
-QUERIES = {}
+"""Registered queries that write files or run a stream over the given tables and read the outcome."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketlake import schemas
+from marketlake.config import AlarmRule, VelocityRules
+from marketlake.functions.numeric import round_half_up
+from marketlake.operators import training
+from marketlake.plans import batch_job
+from marketlake.session import working_path
+from marketlake.sources import lake as zones
+from marketlake.sources import messages
+from marketlake.sources import tables as t
+from marketlake.streaming import clicks as click_jobs
+from marketlake.streaming import orders as order_jobs
+from marketlake.streaming import sinks
+from marketlake.streaming.alarms import AlarmJob
+from marketlake.streaming.inventory import StockJob, stock_stream
+
+LATE = "24 hours"
+
+
+def _iso(ts: str):
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _written_text(bodies: DataFrame, name: str) -> str:
+    """Message bodies as text files, as a queue consumer would find them."""
+    path = working_path(bodies.sparkSession, name)
+    bodies.write.text(path)
+    return path
+
+
+def _order_bodies(spark: SparkSession, d: str, copies: int = 1) -> DataFrame:
+    """Order events as JSON text: items, tier, address and suspicion flag from the tables."""
+    item = F.struct(
+        F.col("product_id").cast("string").alias("product_id"), "category", "quantity", "unit_price",
+        F.col("freight_value").alias("freight"),
+    )
+    items = t.item_rows(spark, d).groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    scored = t.with_state(t.scored_orders(spark, d), spark, d).join(items, "order_id", "left")
+    event = F.struct(
+        F.lit("ORDER_PLACED").alias("event_type"),
+        F.col("order_id").cast("string").alias("order_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
+        "customer_tier",
+        "items",
+        "total",
+        "payment_method",
+        F.struct(F.lit("city").alias("city"), F.col("shipping_state").alias("state"), F.lit("BR").alias("country")).alias("shipping_address"),
+        "status",
+        _iso("created_at").alias("created_at"),
+        "is_suspicious",
+        "fraud_score",
+    )
+    return scored.select(F.explode(F.array_repeat(F.to_json(event), copies)).alias("body"))
+
+
+def _click_bodies(spark: SparkSession, d: str) -> DataFrame:
+    event = F.struct(
+        F.lit("PAGE_VIEW").alias("event_type"),
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("session_id").cast("string").alias("session_id"),
+        "customer_id",
+        "action",
+        _iso("timestamp").alias("timestamp"),
+        F.col("duration_ms").cast("int").alias("duration_ms"),
+    )
+    return t.clicks(spark, d).select(F.to_json(event).alias("body"))
+
+
+def _stock_bodies(spark: SparkSession, d: str) -> DataFrame:
+    event = F.struct(
+        F.lit("INVENTORY_UPDATE").alias("event_type"),
+        F.format_string("%012d", "event_id").alias("event_id"),
+        F.col("product_id").cast("string").alias("product_id"),
+        "category",
+        "current_stock",
+        "delta",
+        "warehouse_id",
+        _iso("timestamp").alias("timestamp"),
+    )
+    return t.stock_events(spark, d).select(F.to_json(event).alias("body"))
+
+
+# ---- files --------------------------------------------------------------------------------------
+
+
+def ndjson_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Raw orders as NDJSON, scanned with the raw schema."""
+    path = _written_text(_order_bodies(spark, d), "raw-orders")
+    raw = zones.read_ndjson(spark, path, schemas.RAW_ORDER)
+    return raw.select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        "status",
+        F.col("total").cast("double").alias("total"),
+        F.col("shipping_address.state").alias("state"),
+        F.coalesce(F.size("items"), F.lit(0)).alias("n_items"),
+    )
+
+
+def partitioned_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks written by day, one day written again; the other days must stay."""
+    path = working_path(spark, "clicks-by-day")
+    dated = t.clicks(spark, d).withColumn("event_date", F.to_date("timestamp"))
+    zones.write_by_day(dated, path, "event_date")
+    first = dated.agg(F.min("event_date")).scalar()
+    zones.write_by_day(dated.filter(F.col("event_date") == first), path, "event_date")
+    return spark.read.parquet(path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids")
+    )
+
+
+def _built_lake(spark: SparkSession, d: str) -> zones.Lake:
+    lake = zones.Lake(working_path(spark, "lake"))
+    _order_bodies(spark, d, copies=2).write.text(lake.raw("orders"))
+    _click_bodies(spark, d).write.text(lake.raw("clickstream"))
+    batch_job.run(spark, lake)
+    return lake
+
+
+def lake_kpis(spark: SparkSession, d: str) -> DataFrame:
+    """The whole lake job from raw NDJSON (orders delivered twice) to the curated KPIs."""
+    return zones.read_parquet(spark, _built_lake(spark, d).curated("daily_kpis"))
+
+
+def sql_over_views(spark: SparkSession, d: str) -> DataFrame:
+    """Plain SQL over the registered zone tables, with an unnested items column."""
+    zones.register_views(spark, _built_lake(spark, d))
+    return spark.sql(
+        """
+        SELECT item.category AS category, count(DISTINCT o.order_id) AS total_orders, sum(item.quantity) AS units_sold,
+               max(item.freight_value) AS max_freight
+        FROM processed_orders o LATERAL VIEW explode(o.items) x AS item
+        WHERE o.status = 'confirmed'
+        GROUP BY item.category
+        """
+    )
+
+
+def stored_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    return zones.stored(t.priced_products(spark, d), "catalogue")
+
+
+def factor_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Factor tables saved and loaded again."""
+    path = working_path(spark, "factors")
+    training.save_factors(training.Factors(t.user_factors(spark, d), t.item_factors(spark, d)), path)
+    loaded = training.load_factors(spark, path)
+    return loaded.users.select(
+        F.col("customer_id"), F.size("factors").alias("length"), round_half_up(F.col("factors")[0].cast("double"), 6).alias("first")
+    )
+
+
+def envelope_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """Alerts in envelopes (error events) and bare (others), with events of value below 1 unreadable."""
+    alert = F.to_json(
+        F.struct(
+            F.col("event_id").cast("string").alias("order_id"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            F.col("value").alias("total"),
+        )
+    )
+    text = F.when(F.col("value") < 1.0, F.concat(F.lit("{broken "), alert)).when(
+        F.col("event_type") == "error", F.to_json(F.struct(alert.alias("Message")))
+    ).otherwise(alert)
+    parsed = messages.parse_alerts(t.table(spark, d, "events").select("event_id", text.alias("body")))
+    return parsed.select(
+        "event_id", F.col("event.customer_id").alias("customer_id"), F.col("event.total").alias("total"), "problem"
+    )
+
+
+def quarantined_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Messages with a broken text, a wrong type or a missing field, by event."""
+    user = F.col("user_id").cast("string")
+    good = F.to_json(F.struct(user.alias("product_id"), F.get_json_object("props", "$.k").cast("int").alias("current_stock")))
+    body = (
+        F.when(F.col("event_type") == "error", F.concat(F.lit("no json "), good))
+        .when(F.col("event_type") == "signup", F.to_json(F.struct(user.alias("product_id"), F.lit("many").alias("current_stock"))))
+        .when(F.col("event_type") == "view", F.to_json(F.struct(F.col("value").alias("other"))))
+        .when(F.col("value") >= 1.0, good)
+    )
+    parsed = messages.parse(
+        t.table(spark, d, "events").select("event_id", body.alias("body")),
+        schemas.INVENTORY_EVENT,
+        ["product_id", "current_stock"],
+    )
+    return messages.bad(parsed).select("event_id", "problem")
+
+
+# ---- streams ------------------------------------------------------------------------------------
+
+
+def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
+    """Orders, each delivered twice, run through the order stream."""
+    path = _written_text(_order_bodies(spark, d, copies=2), "order-messages")
+    job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0))
+    order_jobs.run_now(job.start(messages.message_stream(spark, path)))
+    return job
+
+
+def order_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _order_job(spark, d).orders().select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        round_half_up(F.col("fraud_score"), 4).alias("fraud_score"),
+        F.array_join("fraud_flags", ",").alias("fraud_flags"),
+        "is_fraud",
+    )
+
+
+def decision_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _order_job(spark, d).decisions().select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        "orders_in_window",
+        "spend_in_window",
+        "fraud_decision",
+        "combined_fraud_score",
+        F.array_join("all_fraud_flags", ",").alias("all_fraud_flags"),
+    )
+
+
+def order_event_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _order_job(spark, d).events().groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_orders")
+    )
+
+
+def enriched_click_stream(spark: SparkSession, d: str) -> DataFrame:
+    path = _written_text(_click_bodies(spark, d), "click-messages")
+    out = working_path(spark, "enriched")
+    stream = click_jobs.click_stream(messages.message_stream(spark, path))
+    click_jobs.start_enriched(stream, f"{out}/clicks", f"{out}/checkpoint").awaitTermination()
+    schema = "event_id string, hour_of_day int, day_of_week string, is_weekend boolean, is_authenticated boolean"
+    back = spark.read.schema(schema).option("basePath", f"{out}/clicks").json(f"{out}/clicks")
+    return back.select(
+        F.col("event_id").cast("bigint").alias("event_id"), "hour_of_day", "day_of_week", "is_weekend", "is_authenticated"
+    )
+
+
+def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks delivered twice, deduplicated on the stream."""
+    twice = _click_bodies(spark, d).select(F.explode(F.array_repeat("body", 2)).alias("body"))
+    path = _written_text(twice, "click-messages")
+    out = working_path(spark, "unique")
+    stream = click_jobs.unique_clicks(click_jobs.click_stream(messages.message_stream(spark, path)))
+    sinks.start_files(stream, f"{out}/clicks", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/clicks").select(
+        F.col("event_id").cast("bigint").alias("event_id"), "action", "duration_ms"
+    )
+
+
+def session_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions that the final watermark (newest click less 24 hours) has closed."""
+    path = _written_text(_click_bodies(spark, d), "click-messages")
+    out = working_path(spark, "sessions")
+    stream = click_jobs.session_stream(click_jobs.click_stream(messages.message_stream(spark, path)), late=LATE)
+    sinks.start_files(stream, f"{out}/sessions", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/sessions").select(
+        F.col("session_id").cast("bigint").alias("session_id"),
+        F.col("first_seen").cast("timestamp_ntz").alias("first_seen"),
+        F.col("last_seen").cast("timestamp_ntz").alias("last_seen"),
+        "event_count",
+        "expires_at",
+        "customer_id",
+    )
+
+
+def _stock_job(spark: SparkSession, d: str) -> StockJob:
+    path = _written_text(_stock_bodies(spark, d), "stock-messages")
+    job = StockJob(spark, working_path(spark, "stock-job"))
+    order_jobs.run_now(job.start(stock_stream(messages.message_stream(spark, path))))
+    return job
+
+
+def stock_level_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _stock_job(spark, d).stock().select(
+        F.col("product_id").cast("bigint").alias("product_id"),
+        "category",
+        "stock_level",
+        F.to_timestamp("last_updated").cast("timestamp_ntz").alias("last_updated"),
+        "warehouse_id",
+    )
+
+
+def stock_alert_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _stock_job(spark, d).alerts().select(
+        F.col("product_id").cast("bigint").alias("product_id"),
+        "category",
+        "current_stock",
+        "delta",
+        "severity",
+        "warehouse_id",
+        F.to_timestamp("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "subject",
+    )
+
+
+def alarm_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Alarms over the windows that the final watermark (newest row less 24 hours) has closed."""
+    source = spark.readStream.schema("event_type string, ts timestamp_ntz, value double").option(
+        "pathGlobFilter", "events.parquet"
+    ).parquet(d)
+    metrics = source.select(F.col("event_type").alias("metric"), "ts", "value")
+    job = AlarmJob(spark, working_path(spark, "alarms"), AlarmRule("backlog", 3600, "max", "gt", 20.0, 3), LATE)
+    job.start(metrics).awaitTermination()
+    return job.alarms().select("alarm", "metric", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "stat")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "s2_ndjson_scan": ndjson_scan,
+    "s7_envelope_alerts": envelope_alerts,
+    "s8_partitioned_overwrite": partitioned_overwrite,
+    "s9_lake_kpis": lake_kpis,
+    "s11_sql_over_views": sql_over_views,
+    "s14_stored_catalogue": stored_catalogue,
+    "s15_quarantined_messages": quarantined_messages,
+    "r3_factor_tables": factor_tables,
+    "t2_order_stream": order_stream,
+    "t4_order_event_stream": order_event_stream,
+    "t5_decision_stream": decision_stream,
+    "t6_enriched_click_stream": enriched_click_stream,
+    "t7_session_stream": session_stream,
+    "t9_stock_level_stream": stock_level_stream,
+    "t9_stock_alert_stream": stock_alert_stream,
+    "t10_alarm_stream": alarm_stream,
+    "t12_unique_click_stream": unique_click_stream,
+}

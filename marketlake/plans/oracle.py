@@ -511,4 +511,36 @@ FROM orders_m WHERE order_date >= (SELECT max(order_date) FROM orders_m) - 1 GRO
     "q11_clv_segments": f"""WITH {CLV}
 SELECT clv_segment, count(*) AS customer_count, {r(mean('total_spend'))} AS avg_clv, {r('avg(order_count)', 1)} AS avg_orders,
   {r('min(total_spend)')} AS min_spend, {r('max(total_spend)')} AS max_spend FROM clv GROUP BY 1""",
+    "s2_ndjson_scan": f"""WITH {SCORED}, {STATES}
+SELECT order_id, status, total, shipping_state AS state, CAST(item_count AS INTEGER) AS n_items
+FROM scored_m LEFT JOIN states_m USING (customer_id)""",
+    "s7_envelope_alerts": """SELECT event_id, CASE WHEN value >= 1 THEN CAST(user_id AS VARCHAR) END AS customer_id,
+  CASE WHEN value >= 1 THEN value END AS total, CASE WHEN value < 1 THEN 'unreadable' END AS problem FROM events""",
+    "s8_partitioned_overwrite": """SELECT CAST(ts AS DATE) AS event_date, count(*) AS n, count(DISTINCT event_id) AS n_ids
+FROM events GROUP BY 1""",
+    "s9_lake_kpis": f"WITH {KPIS} SELECT * FROM kpis",
+    "s11_sql_over_views": f"""WITH {ORDER_ITEMS}
+SELECT category, count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS units_sold, max(freight_value) AS max_freight
+FROM order_items_m WHERE status = 'confirmed' GROUP BY 1""",
+    "s14_stored_catalogue": f"WITH {PRODUCTS} SELECT * FROM products_m",
+    "s15_quarantined_messages": """SELECT event_id,
+  CASE event_type WHEN 'view' THEN 'missing product_id,current_stock' ELSE 'unreadable' END AS problem
+FROM events WHERE event_type IN ('error', 'signup', 'view') OR value < 1""",
+    "r3_factor_tables": f"""SELECT vec_id AS customer_id, CAST(len(embedding) AS INTEGER) AS length,
+  {r('CAST(embedding[1] AS DOUBLE)', 6)} AS "first" FROM embeddings""",
+    "t4_order_event_stream": f"WITH {ORDERS} SELECT status, count(*) AS n, count(*) AS n_orders FROM orders_m GROUP BY 1",
+    "t7_session_stream": f"""WITH {SESSIONS}
+SELECT * FROM sessions_m WHERE last_seen + INTERVAL 1800 SECONDS <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 24 HOURS""",
+    "t12_unique_click_stream": f"WITH {CLICKS} SELECT event_id, action, CAST(duration_ms AS INTEGER) AS duration_ms FROM clicks_m",
+    "t10_alarm_stream": f"""WITH {series(3600, 'max')},
+closed AS (SELECT * FROM series WHERE window_start + INTERVAL 3600 SECONDS <= (SELECT max(ts) FROM events) - INTERVAL 24 HOURS)
+SELECT 'backlog' AS alarm, metric, window_start, stat FROM closed WHERE stat > 20e0
+QUALIFY lag(window_start, 2) OVER (PARTITION BY metric ORDER BY window_start) = window_start - INTERVAL 7200 SECONDS""",
 }
+
+# The streams must give what the batch operators give.
+ORACLE["t2_order_stream"] = ORACLE["t1_fraud_scores"]
+ORACLE["t5_decision_stream"] = ORACLE["t5_fraud_decisions"]
+ORACLE["t6_enriched_click_stream"] = ORACLE["p3_enrich_clicks"]
+ORACLE["t9_stock_level_stream"] = ORACLE["t9_latest_stock"]
+ORACLE["t9_stock_alert_stream"] = ORACLE["t9_stock_alerts"]

@@ -4,55 +4,97 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, DOUBLE, INT, FLAG = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
-ITEM = _struct("product_id string, category string, quantity int, unit_price double, freight double")
 
-ORDER_EVENT = _struct(
-    "event_type string, event_id string, order_id string, customer_id string, customer_tier string, "
-    "items array<struct<product_id: string, category: string, quantity: int, unit_price: double, freight: double>>, "
-    "subtotal double, discount double, total double, payment_method string, "
-    "shipping_address struct<city: string, state: string, country: string>, "
-    "status string, created_at string, is_suspicious boolean"
+ITEM = struct(product_id=TEXT, category=TEXT, quantity=INT, unit_price=DOUBLE, freight=DOUBLE)
+ADDRESS = struct(city=TEXT, state=TEXT, country=TEXT)
+
+ORDER_EVENT = struct(
+    event_type=TEXT,
+    event_id=TEXT,
+    order_id=TEXT,
+    customer_id=TEXT,
+    customer_tier=TEXT,
+    items=T.ArrayType(ITEM),
+    subtotal=DOUBLE,
+    discount=DOUBLE,
+    total=DOUBLE,
+    payment_method=TEXT,
+    shipping_address=ADDRESS,
+    status=TEXT,
+    created_at=TEXT,
+    is_suspicious=FLAG,
 )
 
-# The raw zone also holds orders whose numbers were stored as text.
-RAW_ORDER = _struct(
-    "event_type string, event_id string, order_id string, customer_id string, customer_tier string, "
-    "items array<struct<product_id: string, category: string, quantity: int, unit_price: double, freight: double>>, "
-    "subtotal string, discount string, total string, payment_method string, "
-    "shipping_address struct<city: string, state: string, country: string>, "
-    "status string, created_at string, is_suspicious boolean, fraud_score string, fraud_flags array<string>"
+# The raw zone also holds orders whose amounts were stored as text, and the stored score.
+RAW_ORDER = struct(
+    event_type=TEXT,
+    event_id=TEXT,
+    order_id=TEXT,
+    customer_id=TEXT,
+    customer_tier=TEXT,
+    items=T.ArrayType(ITEM),
+    subtotal=TEXT,
+    discount=TEXT,
+    total=TEXT,
+    payment_method=TEXT,
+    shipping_address=ADDRESS,
+    status=TEXT,
+    created_at=TEXT,
+    is_suspicious=FLAG,
+    fraud_score=TEXT,
+    fraud_flags=T.ArrayType(TEXT),
 )
 
-CLICK_EVENT = _struct(
-    "event_type string, event_id string, session_id string, customer_id string, product_id string, action string, "
-    "page string, referrer string, device string, timestamp string, duration_ms int"
+CLICK_EVENT = struct(
+    event_type=TEXT,
+    event_id=TEXT,
+    session_id=TEXT,
+    customer_id=TEXT,
+    product_id=TEXT,
+    action=TEXT,
+    page=TEXT,
+    referrer=TEXT,
+    device=TEXT,
+    timestamp=TEXT,
+    duration_ms=INT,
 )
 
-INVENTORY_EVENT = _struct(
-    "event_type string, event_id string, product_id string, category string, previous_stock int, "
-    "current_stock int, delta int, warehouse_id string, timestamp string"
+INVENTORY_EVENT = struct(
+    event_type=TEXT,
+    event_id=TEXT,
+    product_id=TEXT,
+    category=TEXT,
+    previous_stock=INT,
+    current_stock=INT,
+    delta=INT,
+    warehouse_id=TEXT,
+    timestamp=TEXT,
 )
 
-FRAUD_ALERT = _struct(
-    "order_id string, customer_id string, total double, fraud_score double, fraud_flags array<string>, timestamp string"
+FRAUD_ALERT = struct(
+    order_id=TEXT,
+    customer_id=TEXT,
+    total=DOUBLE,
+    fraud_score=DOUBLE,
+    fraud_flags=T.ArrayType(TEXT),
+    timestamp=TEXT,
 )
 
-RECO_REQUEST = _struct("customer_id string, n int, category string")
+RECO_REQUEST = struct(customer_id=TEXT, n=INT, category=TEXT)
 
-# Header CSV tables; only the columns in use are listed, others are skipped by name.
+# Header CSV tables: the columns in use.
 CSV_TABLES = {
-    "orders": _struct("order_id string, customer_id string, order_status string"),
-    "order_items": _struct("order_id string, product_id string, price double, freight_value double"),
-    "payments": _struct("order_id string, payment_sequential int, payment_type string, payment_value double"),
-    "customers": _struct(
-        "customer_id string, customer_unique_id string, customer_city string, customer_state string"
-    ),
-    "products": _struct("product_id string, product_category_name string"),
-    "sellers": _struct("seller_id string"),
-    "translations": _struct("product_category_name string, product_category_name_english string"),
+    "orders": struct(order_id=TEXT, customer_id=TEXT, order_status=TEXT),
+    "order_items": struct(order_id=TEXT, product_id=TEXT, price=DOUBLE, freight_value=DOUBLE),
+    "payments": struct(order_id=TEXT, payment_sequential=INT, payment_type=TEXT, payment_value=DOUBLE),
+    "customers": struct(customer_id=TEXT, customer_unique_id=TEXT, customer_city=TEXT, customer_state=TEXT),
+    "products": struct(product_id=TEXT, product_category_name=TEXT),
+    "sellers": struct(seller_id=TEXT),
+    "translations": struct(product_category_name=TEXT, product_category_name_english=TEXT),
 }

@@ -51,11 +51,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_by_day(df: DataFrame, path: str, day: str) -> int:
     """Overwrite the days present in `df`, leaving other days alone; returns rows written.
 
-    Rows are spread by day and a hash of the whole row, so a very large day is written by many
-    tasks and a small one gives few files. The row count is observed during the write.
+    The rebalance hint lets adaptive execution join small days' partitions and split very
+    large ones, so neither a hot day nor a flood of small files arises. The row count is
+    observed during the write.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartition(parts, F.col(day), F.pmod(F.xxhash64(*df.columns), F.lit(max(1, parts // 4))))
+    spread = df.hint("rebalance", F.col(day))
     seen = Observation("written")
     (
         spread.observe(seen, F.count(F.lit(1)).alias("rows"))
