@@ -199,7 +199,7 @@ def quarantined_messages(spark: SparkSession, d: str) -> DataFrame:
 def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
     """Orders, each delivered twice, run through the order stream."""
     path = _written_text(_order_bodies(spark, d, copies=2), "order-messages")
-    job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0))
+    job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0), log_by="month")
     order_jobs.run_now(job.start(messages.message_stream(spark, path)))
     return job
 

@@ -51,11 +51,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_by_day(df: DataFrame, path: str, day: str) -> int:
     """Overwrite the days present in `df`, leaving other days alone; returns rows written.
 
-    The rebalance hint lets adaptive execution join small days' partitions and split very
-    large ones, so neither a hot day nor a flood of small files arises. The row count is
-    observed during the write.
+    Rows are ranged by day and row hash: a task writes few days, and a day with a large share
+    of the rows is cut into several tasks and files. The row count is observed during the write.
     """
-    spread = df.hint("rebalance", F.col(day))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(parts, F.col(day), F.xxhash64(*df.columns))
     seen = Observation("written")
     (
         spread.observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +21,7 @@ REQUIRED = ("order_id", "customer_id", "customer_tier", "total", "status", "paym
 _EVENT = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.ORDER_EVENT.fields)
 LOG_SCHEMA = (
     f"{_EVENT}, ts timestamp, fraud_score double, fraud_flags array<string>, is_fraud boolean, "
-    "processed_at timestamp, order_date date, batch_id int"
+    "processed_at timestamp, log_day date, batch_id int"
 )
 DECISION_SCHEMA = (
     "order_id string, customer_id string, orders_in_window bigint, spend_in_window double, "
@@ -57,17 +59,24 @@ class OrderJob:
     limited by partition to the days the windows can reach, and to the customers flagged.
     """
 
-    def __init__(self, spark: SparkSession, root: str, velocity: VelocityRules = VelocityRules()):
+    def __init__(
+        self, spark: SparkSession, root: str, velocity: VelocityRules = VelocityRules(), log_by: str = "day"
+    ):
+        """`log_by` is the width of the log's time partitions: 'day', or 'month' for sparse data."""
         self.spark = spark
         self.root = root
         self.velocity = velocity
+        self.log_by = log_by
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def log_day(self, day: Column) -> Column:
+        return F.to_date(F.date_trunc(self.log_by, day))
+
     def on_batch(self, scored: DataFrame, batch_id: int) -> None:
-        stamped = scored.withColumns({"processed_at": F.current_timestamp(), "order_date": F.to_date("ts")})
-        sinks.write_batch(stamped, self.path("order_log"), batch_id, day="order_date")
+        stamped = scored.withColumns({"processed_at": F.current_timestamp(), "log_day": self.log_day(F.col("ts"))})
+        sinks.write_batch(stamped.hint("rebalance", "log_day"), self.path("order_log"), batch_id, day="log_day")
         log = sinks.read_log(self.spark, self.path("order_log"), LOG_SCHEMA, upto=batch_id)
         mine = log.filter(F.col("batch_id") == batch_id)
         alerts = fraud.fraud_alerts(mine, F.col("processed_at"))
@@ -76,11 +85,12 @@ class OrderJob:
         self.review(log, mine.filter("is_fraud"), batch_id)
 
     def review(self, log: DataFrame, flagged: DataFrame, batch_id: int) -> None:
-        first = flagged.agg(F.min("order_date")).first()[0]
-        history = log.select("customer_id", "ts", "total", "order_date")
+        first = flagged.agg(F.min("ts")).first()[0]
+        history = log.select("customer_id", "ts", "total", "log_day")
         if first is not None:
-            days = -(-max(self.velocity.order_window_s, self.velocity.spend_window_s) // 86400)
-            history = history.filter(F.col("order_date") >= F.date_sub(F.lit(first), days))
+            reach = dt.timedelta(seconds=max(self.velocity.order_window_s, self.velocity.spend_window_s))
+            start = F.lit(first - reach)
+            history = history.filter((F.col("log_day") >= self.log_day(start)) & (F.col("ts") >= start))
         people = flagged.select("customer_id").distinct()
         recent = history.join(people, "customer_id", "left_semi").withColumnRenamed("ts", "created_at")
         targets = flagged.select(
