@@ -24,7 +24,7 @@ def _block_scorer(k: int, item_columns: Sequence[str], with_seen: bool) -> Calla
     def score(_key, users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         columns = ["customer_id", *item_columns, "score"]
         if users.empty or items.empty:
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in columns})
         items = items.sort_values("product_id", ignore_index=True)
         matrix = np.stack(items["factors"].to_numpy()).astype(np.float64).T
         place = pd.Index(items["product_id"])
