@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.config import AlarmRule, VelocityRules
 from marketlake.functions.numeric import round_half_up
-from marketlake.operators import training
+from marketlake.operators import builder, curated, training
 from marketlake.plans import batch_job
 from marketlake.session import working_path
 from marketlake.sources import lake as zones
 from marketlake.sources import messages
 from marketlake.sources import tables as t
+from marketlake.sources.csv_tables import read_csv_tables
 from marketlake.streaming import clicks as click_jobs
 from marketlake.streaming import orders as order_jobs
 from marketlake.streaming import sinks
@@ -104,6 +105,44 @@ def ndjson_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def click_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Raw clicks as NDJSON in nested folders, scanned recursively."""
+    root = working_path(spark, "raw-clicks")
+    bodies = _click_bodies(spark, d)
+    bodies.write.text(f"{root}/2024/all")
+    zones.read_ndjson(spark, root, schemas.CLICK_EVENT).createOrReplaceTempView("raw_clicks")
+    return spark.sql("SELECT CAST(event_id AS BIGINT) AS event_id, action, duration_ms, customer_id FROM raw_clicks")
+
+
+def csv_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue built from CSV files with a header."""
+    root = working_path(spark, "csv")
+    sources = {
+        "orders": t.source_orders(spark, d),
+        "order_items": t.source_items(spark, d),
+        "payments": t.source_payments(spark, d),
+        "customers": t.source_customers(spark, d),
+        "products": t.source_products(spark, d),
+        "sellers": t.table(spark, d, "supplier").select(F.col("s_suppkey").alias("seller_id")),
+        "translations": t.translations(spark),
+    }
+    for name, df in sources.items():
+        df.write.option("header", True).csv(f"{root}/{name}")
+    csv = read_csv_tables(spark, root, "{table}")
+    out = builder.catalogue(csv["products"], csv["translations"], csv["order_items"])
+    return out.withColumn("product_id", F.col("product_id").cast("bigint"))
+
+
+def stored_interactions(spark: SparkSession, d: str) -> DataFrame:
+    """The interaction table written to the curated zone and scanned again."""
+    lake = zones.Lake(working_path(spark, "lake"))
+    path = lake.curated("product_interactions")
+    interactions = curated.product_interactions(t.order_items(spark, d))
+    zones.write_unless_empty(interactions, lambda df: zones.write_table(df, path))
+    back = zones.read_parquet(spark, path)
+    return back.withColumn("implicit_rating", round_half_up(F.col("implicit_rating"), 6))
+
+
 def partitioned_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """Clicks written by day, one day written again; the other days must stay."""
     path = working_path(spark, "clicks-by-day")
@@ -312,7 +351,10 @@ def alarm_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "s1_click_scan": click_scan,
     "s2_ndjson_scan": ndjson_scan,
+    "s4_stored_interactions": stored_interactions,
+    "s5_csv_catalogue": csv_catalogue,
     "s7_envelope_alerts": envelope_alerts,
     "s8_partitioned_overwrite": partitioned_overwrite,
     "s9_lake_kpis": lake_kpis,

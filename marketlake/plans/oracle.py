@@ -447,6 +447,8 @@ UNION ALL SELECT 'product', count(DISTINCT product_id), 64 FROM inter_m""",
     "r4_o5_personal_scores": f"""WITH {ranked(40)}
 SELECT customer_id, product_id, {r('score', 6)} AS score, CAST(rank AS INTEGER) AS rank FROM ranked""",
     "r5_o6_popular_items": f"SELECT vec_id AS product_id, {r(NORM, 6)} AS score FROM embeddings ORDER BY {NORM} DESC, vec_id LIMIT 200",
+    "r6_category_rows": f"""WITH {RESPONSES}
+SELECT a.*, req.category AS asked_category FROM response_rows a JOIN req USING (customer_id) WHERE req.category <> ''""",
     "r9_fallback_rows": f"WITH {RESPONSES} SELECT * FROM response_rows WHERE strategy = 'catalog_fallback'",
     "r10_request_options": f"WITH {REQUESTS} SELECT * FROM req",
     "r11_bulk_lists": f"""WITH {PRODUCTS}, {ranked(20, SEEN)}
@@ -511,6 +513,7 @@ FROM orders_m WHERE order_date >= (SELECT max(order_date) FROM orders_m) - 1 GRO
     "q11_clv_segments": f"""WITH {CLV}
 SELECT clv_segment, count(*) AS customer_count, {r(mean('total_spend'))} AS avg_clv, {r('avg(order_count)', 1)} AS avg_orders,
   {r('min(total_spend)')} AS min_spend, {r('max(total_spend)')} AS max_spend FROM clv GROUP BY 1""",
+    "s1_click_scan": f"WITH {CLICKS} SELECT event_id, action, CAST(duration_ms AS INTEGER) AS duration_ms, customer_id FROM clicks_m",
     "s2_ndjson_scan": f"""WITH {SCORED}, {STATES}
 SELECT order_id, status, total, shipping_state AS state, CAST(item_count AS INTEGER) AS n_items
 FROM scored_m LEFT JOIN states_m USING (customer_id)""",
@@ -538,7 +541,9 @@ SELECT 'backlog' AS alarm, metric, window_start, stat FROM closed WHERE stat > 2
 QUALIFY lag(window_start, 2) OVER (PARTITION BY metric ORDER BY window_start) = window_start - INTERVAL 7200 SECONDS""",
 }
 
-# The streams must give what the batch operators give.
+# Files and streams must give what the batch operators give.
+ORACLE["s4_stored_interactions"] = ORACLE["a3_product_interactions"]
+ORACLE["s5_csv_catalogue"] = ORACLE["j2_catalogue"]
 ORACLE["t2_order_stream"] = ORACLE["t1_fraud_scores"]
 ORACLE["t5_decision_stream"] = ORACLE["t5_fraud_decisions"]
 ORACLE["t6_enriched_click_stream"] = ORACLE["p3_enrich_clicks"]

@@ -541,6 +541,11 @@ def recommendations(spark: SparkSession, d: str) -> DataFrame:
     return _answers(spark, d).drop("n", "asked_category")
 
 
+def category_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Answers to requests that asked for a category."""
+    return _answers(spark, d).filter(F.col("asked_category") != "").drop("n")
+
+
 def fallback_rows(spark: SparkSession, d: str) -> DataFrame:
     return recommendations(spark, d).filter(F.col("strategy") == "catalog_fallback")
 
@@ -701,6 +706,7 @@ QUERIES: dict[str, Query] = {
     "r2_als_factors": als_factors,
     "r4_o5_personal_scores": personal_scores,
     "r5_o6_popular_items": popular_items,
+    "r6_category_rows": category_rows,
     "r9_fallback_rows": fallback_rows,
     "r10_request_options": request_options,
     "r11_bulk_lists": bulk_lists,

@@ -11,7 +11,7 @@ from marketlake.sources import tables as t
 # These write files or fit a model when called, or score with numpy inside tasks.
 EAGER = {*LAKE_QUERIES, "r2_als_factors"}
 NUMPY = {
-    "a14_list_summary", "j8_scored_with_metadata", "j9_unseen_scores", "r4_o5_personal_scores", "r9_fallback_rows",
+    "a14_list_summary", "j8_scored_with_metadata", "j9_unseen_scores", "r4_o5_personal_scores", "r6_category_rows", "r9_fallback_rows",
     "r11_bulk_lists", "r12_w4_recommendations", "r13_w7_display_rows",
 }
 
