@@ -97,7 +97,7 @@ def items_with_category(items: DataFrame, categories: DataFrame) -> DataFrame:
 def collect_items(item_rows: DataFrame) -> DataFrame:
     """(order_id, items): the nested array of the order event, in a fixed order."""
     item = F.struct("product_id", "category", "quantity", "unit_price", "freight")
-    return item_rows.groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return item_rows.groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
 def order_totals(item_rows: DataFrame, rates: DataFrame | None = None) -> DataFrame:
@@ -139,7 +139,7 @@ def build_orders(
     rows = items_with_category(items, categories)
     item = F.struct("product_id", "category", "quantity", "unit_price", "freight")
     per_order = rows.groupBy("order_id").agg(
-        F.array_sort(F.collect_list(item)).alias("items"),
+        F.sort_array(F.collect_list(item)).alias("items"),
         round_half_up(exact_sum(F.col("unit_price"))).alias("subtotal"),
     )
     if rates is not None:

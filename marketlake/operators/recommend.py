@@ -37,7 +37,7 @@ def _pool_entry() -> Column:
 def _as_list(ranked: DataFrame, order: list[Column]) -> DataFrame:
     """One row holding a short, already limited frame as an ordered array."""
     keyed = ranked.select(F.struct(*order, _pool_entry().alias("c")).alias("e"))
-    return keyed.agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["c"]).alias("pool"))
+    return keyed.agg(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["c"]).alias("pool"))
 
 
 def _popular_list(item_factors: DataFrame, products: DataFrame, k: int) -> DataFrame:
@@ -65,7 +65,7 @@ def personal_pools(
         user_block=rules.user_block,
         item_block=rules.item_block,
     ).withColumn("on_shelf", F.lit(False))
-    ordered = F.array_sort(F.collect_list(F.struct("rank", _pool_entry().alias("c"))))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", _pool_entry().alias("c"))))
     return top.groupBy("customer_id").agg(F.transform(ordered, lambda e: e["c"]).alias("pool"))
 
 
@@ -155,7 +155,7 @@ def responses(rows: DataFrame) -> DataFrame:
     entry = F.struct("rank", "product_id", "score", "category", "unit_price", "stock_level", "source")
     return rows.groupBy(
         "customer_id", "n", "asked_category", "count", "strategy", "avg_spend_per_item"
-    ).agg(F.array_sort(F.collect_list(entry)).alias("recommendations"))
+    ).agg(F.sort_array(F.collect_list(entry)).alias("recommendations"))
 
 
 def list_summary(rows: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def list_summary(rows: DataFrame) -> DataFrame:
     category = F.when(F.col("category") != "", F.col("category"))
     price = F.when(F.col("unit_price") != 0.0, F.col("unit_price"))
     return rows.groupBy("customer_id", "n", "asked_category").agg(
-        F.slice(F.array_sort(F.collect_set(category)), 1, 3).alias("categories"),
+        F.slice(F.sort_array(F.collect_set(category)), 1, 3).alias("categories"),
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
     )
@@ -191,7 +191,7 @@ def bulk_lists(
         F.struct("product_id", round_half_up(F.col("score"), 4).alias("score"), "category", "unit_price").alias("c"),
     )
     lists = top.groupBy("customer_id").agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["c"]).alias("recommendations")
+        F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["c"]).alias("recommendations")
     )
     fallback = _popular_list(item_factors, products, rules.bulk_n).select(
         F.transform(

@@ -6,22 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import SessionRules
-from marketlake.functions.timefn import micros
+from marketlake.functions.timefn import micros, parse_ts
 
 
 def sessionize(clicks: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
     """One row per session: a new one starts after more than `gap_s` without a click.
 
+    `timestamp` is ISO text or a timestamp; clicks without a readable time are left out.
+
     Two clicks in the same gap-wide slot of time are never further apart than the gap, so
     clicks are first reduced to one row per (session_id, slot), map-side. Only those rows are
     put in order per session_id: at most one per slot of time, however many clicks it has.
     """
     gap_us = rules.gap_s * 1_000_000
-    us = micros(F.col("timestamp"))
+    us = micros(parse_ts(F.col("timestamp")))
     first = F.struct(F.col("us"), F.col("event_id"), F.col("customer_id"))
     slots = (
-        clicks.filter(F.col("session_id").isNotNull() & F.col("timestamp").isNotNull())
-        .select("session_id", "event_id", "customer_id", us.alias("us"))
+        clicks.select("session_id", "event_id", "customer_id", us.alias("us"))
+        .filter(F.col("session_id").isNotNull() & F.col("us").isNotNull())
         .groupBy("session_id", F.floor(F.col("us") / F.lit(gap_us)).alias("slot"))
         .agg(
             F.min("us").alias("start"),

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas
+from marketlake.functions.timefn import parse_ts
 from marketlake.operators import clean, curated
 from marketlake.sources import lake as zones
 
@@ -34,7 +35,7 @@ def run(spark: SparkSession, lake: zones.Lake) -> dict[str, int]:
 def curate(spark: SparkSession, lake: zones.Lake) -> dict[str, int]:
     """The curated tables from processed orders; each scan reads only the columns it needs."""
     orders = zones.read_parquet(spark, lake.processed("orders"))
-    parsed = orders.withColumn("created_at", F.to_timestamp("created_at"))
+    parsed = orders.withColumn("created_at", parse_ts(F.col("created_at")))
     tables = {
         "daily_kpis": curated.daily_kpis(orders),
         "customer_clv": curated.customer_clv(parsed),

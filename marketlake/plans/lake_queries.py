@@ -43,7 +43,7 @@ def _order_bodies(spark: SparkSession, d: str, copies: int = 1) -> DataFrame:
         F.col("product_id").cast("string").alias("product_id"), "category", "quantity", "unit_price",
         F.col("freight_value").alias("freight"),
     )
-    items = t.item_rows(spark, d).groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    items = t.item_rows(spark, d).groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
     scored = t.with_state(t.scored_orders(spark, d), spark, d).join(items, "order_id", "left")
     event = F.struct(
         F.lit("ORDER_PLACED").alias("event_type"),
@@ -137,7 +137,7 @@ def stored_interactions(spark: SparkSession, d: str) -> DataFrame:
     """The interaction table written to the curated zone and scanned again."""
     lake = zones.Lake(working_path(spark, "lake"))
     path = lake.curated("product_interactions")
-    interactions = curated.product_interactions(t.order_items(spark, d))
+    interactions = curated.product_interactions(t.order_items(spark, d, categories=False))
     zones.write_unless_empty(interactions, lambda df: zones.write_table(df, path))
     back = zones.read_parquet(spark, path)
     return back.withColumn("implicit_rating", round_half_up(F.col("implicit_rating"), 6))

@@ -195,7 +195,7 @@ def scored_with_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _seen(spark: SparkSession, d: str) -> DataFrame:
-    return t.order_items(spark, d).select("customer_id", "product_id")
+    return t.order_items(spark, d, categories=False).select("customer_id", "product_id")
 
 
 def unseen_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -227,7 +227,7 @@ def customer_clv(spark: SparkSession, d: str) -> DataFrame:
 
 
 def product_interactions(spark: SparkSession, d: str) -> DataFrame:
-    out = curated.product_interactions(t.order_items(spark, d))
+    out = curated.product_interactions(t.order_items(spark, d, categories=False))
     return out.withColumn("implicit_rating", round_half_up(F.col("implicit_rating"), 6))
 
 
@@ -280,7 +280,7 @@ def conditional_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
-    return t.order_items(spark, d).agg(
+    return t.order_items(spark, d, categories=False).agg(
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("product_id").alias("products"),
@@ -606,7 +606,7 @@ def report_cohorts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def report_freight(spark: SparkSession, d: str) -> DataFrame:
-    return reports.freight_by_state(t.order_items(spark, d, state=True))
+    return reports.freight_by_state(t.order_items(spark, d, state=True, categories=False))
 
 
 def report_fraud_days(spark: SparkSession, d: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.numeric import count_when, exact_avg, exact_sum, ratio, round_half_up, units
-from marketlake.functions.timefn import hour_label, month_of, months_apart
+from marketlake.functions.timefn import hour_label, month_of, months_apart, parse_ts
 from marketlake.operators.clean import confirmed, confirmed_with_state
 
 Day = Column | dt.date | str
@@ -221,7 +221,7 @@ def funnel_share(clicks: DataFrame) -> DataFrame:
 def hourly_orders(orders: DataFrame, as_of: Day, days: int = 1) -> DataFrame:
     return (
         since(orders, "order_date", as_of, days)
-        .groupBy(hour_label(F.col("created_at").cast("timestamp")).alias("hour"))
+        .groupBy(hour_label(parse_ts(F.col("created_at"))).alias("hour"))
         .agg(
             F.count(F.lit(1)).alias("orders"),
             round_half_up(exact_sum(F.col("total"))).alias("revenue"),

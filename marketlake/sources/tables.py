@@ -175,8 +175,11 @@ def delivered_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def item_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """(order_id, product_id, category, quantity, unit_price, freight_value)."""
+def item_rows(spark: SparkSession, folder: str, categories: bool = True) -> DataFrame:
+    """(order_id, product_id, category, quantity, unit_price, freight_value).
+
+    A left join is not removed when its columns go unused, so `categories` says if they are wanted.
+    """
     lines = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -184,6 +187,8 @@ def item_rows(spark: SparkSession, folder: str) -> DataFrame:
         round_half_up(F.col("l_extendedprice") / F.col("l_quantity") / 100.0).alias("unit_price"),
         round_half_up(F.col("l_extendedprice") * F.col("l_tax") / 100.0).alias("freight_value"),
     )
+    if not categories:
+        return lines
     return lines.join(products(spark, folder), "product_id", "left").withColumn(
         "category", F.coalesce("category", F.lit("other"))
     )
@@ -192,16 +197,16 @@ def item_rows(spark: SparkSession, folder: str) -> DataFrame:
 def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their items array, as the processed zone stores them."""
     item = F.struct("product_id", "category", "quantity", "unit_price", F.col("freight_value").alias("freight"))
-    items = item_rows(spark, folder).groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    items = item_rows(spark, folder).groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
     return orders(spark, folder).join(items, "order_id", "left")
 
 
-def order_items(spark: SparkSession, folder: str, state: bool = False) -> DataFrame:
+def order_items(spark: SparkSession, folder: str, state: bool = False, categories: bool = True) -> DataFrame:
     """Item rows with their order's customer, status, date and total (and state)."""
     heads = orders(spark, folder).select("order_id", "customer_id", "status", "order_date", "total")
     if state:
         heads = with_state(heads, spark, folder)
-    return item_rows(spark, folder).join(heads, "order_id")
+    return item_rows(spark, folder, categories).join(heads, "order_id")
 
 
 def clicks(spark: SparkSession, folder: str) -> DataFrame:
