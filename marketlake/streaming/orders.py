@@ -76,12 +76,12 @@ class OrderJob:
 
     def on_batch(self, scored: DataFrame, batch_id: int) -> None:
         stamped = scored.withColumns({"processed_at": F.current_timestamp(), "log_day": self.log_day(F.col("ts"))})
-        sinks.write_batch(stamped.hint("rebalance", "log_day"), self.path("order_log"), batch_id, day="log_day")
+        sinks.write_batch(stamped.hint("rebalance", "log_day"), self.path("order_log"), batch_id, by="log_day")
         log = sinks.read_log(self.spark, self.path("order_log"), LOG_SCHEMA, upto=batch_id)
         mine = log.filter(F.col("batch_id") == batch_id)
         alerts = fraud.fraud_alerts(mine, F.col("processed_at"))
         sinks.write_batch(alerts, self.path("fraud_alerts"), batch_id)
-        sinks.write_batch(fraud.order_events(mine, F.col("processed_at")), self.path("order_events"), batch_id, day="status")
+        sinks.write_batch(fraud.order_events(mine, F.col("processed_at")), self.path("order_events"), batch_id, by="status")
         self.review(log, mine.filter("is_fraud"), batch_id)
 
     def review(self, log: DataFrame, flagged: DataFrame, batch_id: int) -> None:

@@ -14,11 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 LOG = "batch_id"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, day: str | None = None) -> str:
+def write_batch(df: DataFrame, path: str, batch_id: int, by: str | None = None) -> str:
     folder = f"{path}/{LOG}={batch_id}"
     writer = df.write.mode("overwrite")
-    if day:
-        writer = writer.partitionBy(day)
+    if by:
+        writer = writer.partitionBy(by)
     writer.parquet(folder)
     return folder
 
