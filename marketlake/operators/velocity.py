@@ -36,7 +36,7 @@ def trailing_activity(
 ) -> DataFrame:
     """Adds orders_in_window and spend_in_window to every target row.
 
-    Without `history` the targets are their own history, and one copy fewer is shuffled.
+    A target without key or time has 0 in both. Without `history` the targets are their own history, and one copy fewer is shuffled.
     """
     slot_us = rules.slot_s * 1_000_000
     order_slots, rest_a = divmod(rules.order_window_s, rules.slot_s)
@@ -94,7 +94,16 @@ def trailing_activity(
         between("amt", spend_slots).alias("mid_amt"),
     )
 
-    targets_placed = target_rows.select("k", "slot", F.col("us").alias("pos"), F.lit(_TARGET).alias("kind"), "amt", "row")
+    # Rows without key or time have no window; a hash for a slot keeps them from meeting in one group.
+    usable = F.col("k").isNotNull() & F.col("us").isNotNull()
+    targets_placed = target_rows.select(
+        "k",
+        F.when(usable, F.col("slot")).otherwise(F.xxhash64("row")).alias("slot"),
+        F.when(usable, F.col("us")).alias("pos"),
+        F.lit(_TARGET).alias("kind"),
+        "amt",
+        "row",
+    )
     together = targets_placed.unionByName(copies, allowMissingColumns=True).unionByName(middles, allowMissingColumns=True)
 
     ordered = Window.partitionBy("k", "slot").orderBy("pos")
@@ -122,7 +131,12 @@ def trailing_activity(
         + F.coalesce(F.max("mid_amt").over(whole), zero)
     )
     return (
-        together.select("kind", "row", n.alias("orders_in_window"), amt.alias("_amt"))
+        together.select(
+            "kind",
+            "row",
+            F.when(F.col("pos").isNotNull(), n).otherwise(zero).alias("orders_in_window"),
+            F.when(F.col("pos").isNotNull(), amt).otherwise(zero).alias("_amt"),
+        )
         .filter(kind == _TARGET)
         .select("row.*", "orders_in_window", (F.col("_amt") / F.lit(float(UNIT))).alias("spend_in_window"))
     )

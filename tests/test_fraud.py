@@ -120,6 +120,15 @@ def test_windows_match_brute_force_with_a_hot_customer(spark, rules):
     assert some == {**{o[0]: brute(o) for o in orders if o[0] % 3 == 0}, 9999: (0, 0.0)}
 
 
+def test_rows_without_customer_or_time_have_no_window(spark, rows):
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, None, at, 5.0), (2, None, at, 5.0), (3, "a", None, 5.0), (4, "a", at, 5.0), (5, None, None, 5.0)],
+                               "order_id long, customer_id string, created_at timestamp_ntz, total double")
+    for history in (None, df):
+        got = rows(trailing_activity(df, history), "order_id", "orders_in_window", "spend_in_window")
+        assert got == [(1, 0, 0.0), (2, 0, 0.0), (3, 0, 0.0), (4, 1, 5.0), (5, 0, 0.0)]
+
+
 def test_windows_must_fit_the_slots(spark):
     with pytest.raises(ValueError):
         trailing_activity(_orders(spark, [("a", "2024-01-01T00:00:00", 1.0)]), rules=VelocityRules(slot_s=1000))
