@@ -158,7 +158,7 @@ def partitioned_overwrite(spark: SparkSession, d: str) -> DataFrame:
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
-def _once(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], object]):
+def once(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], object]):
     """Build a lake or run a stream once per session and folder, for all queries that read its tables."""
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _BUILT:
@@ -167,7 +167,7 @@ def _once(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession,
 
 
 def _built_lake(spark: SparkSession, d: str) -> zones.Lake:
-    return _once(spark, d, "lake", _build_lake)
+    return once(spark, d, "lake", _build_lake)
 
 
 def _build_lake(spark: SparkSession, d: str) -> zones.Lake:
@@ -251,7 +251,7 @@ def quarantined_messages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
-    return _once(spark, d, "orders", _run_orders)
+    return once(spark, d, "orders", _run_orders)
 
 
 def _run_orders(spark: SparkSession, d: str) -> order_jobs.OrderJob:
@@ -329,7 +329,7 @@ def session_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stock_job(spark: SparkSession, d: str) -> StockJob:
-    return _once(spark, d, "stock", _run_stock)
+    return once(spark, d, "stock", _run_stock)
 
 
 def _run_stock(spark: SparkSession, d: str) -> StockJob:

@@ -522,8 +522,8 @@ def popular_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_products(spark: SparkSession, d: str) -> DataFrame:
-    """The catalogue written once as a table, as the recommender reads it."""
-    return lake.stored(t.priced_products(spark, d), "products")
+    """The product table the recommender reads: seeded once per session, like any stored table."""
+    return lake_queries.once(spark, d, "products", lambda s, f: lake.stored(t.priced_products(s, f), "products"))
 
 
 def _answers(spark: SparkSession, d: str) -> DataFrame:
