@@ -40,7 +40,7 @@ LOW = np.uint64(2**48 - 1)
 BUCKET = 3_000_000
 BLOCK = 2_000_000
 #: Text bytes that a task turns to arrays at once.
-STEP = 12_000_000
+STEP = 6_000_000
 
 
 def needed(n):
@@ -125,58 +125,73 @@ def _dealt(buckets: int):
     return deal
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """One bucket: for each document its shingles that others hold too, with the number of holders."""
-    tokens, docs, sizes = [], [], []
-    for raw in group["payload"]:
-        raw = raw.as_buffer()
-        raw = memoryview(raw)
-        lengths = struct.unpack_from("<4q", raw)
-        at, parts = 32, []
-        for length, kind in zip(lengths, (np.uint64, np.uint16, np.int64, np.int64), strict=True):
-            parts.append(_unpacked(raw[at : at + length], kind))
-            at += length
-        tokens.append(np.cumsum(parts[0], dtype=np.uint64))
-        docs.append(parts[2][parts[1]])
-        sizes.append(parts[3][parts[1]])
-    token, doc, size = np.concatenate(tokens), np.concatenate(docs), np.concatenate(sizes)
-    order = np.argsort(token, kind="stable")
-    token = token[order]
-    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    count = np.diff(np.append(first, len(token)))
-    many = np.repeat(count, count)
-    keep = many > 1
-    token, order = token[keep] << np.uint64(16) | np.minimum(many[keep], 65535).astype(np.uint64), order[keep]
-    doc, size = doc[order], size[order]
-    order = np.argsort(doc, kind="stable")
+def _shared(parts: int):
+    """One bucket -> for each part of the documents their shingles that others hold too, with the holders' number."""
+
+    def share(group: pa.Table) -> pa.Table:
+        tokens, docs, sizes = [], [], []
+        for raw in group["payload"]:
+            raw = memoryview(raw.as_buffer())
+            lengths = struct.unpack_from("<4q", raw)
+            at, found = 32, []
+            for length, kind in zip(lengths, (np.uint64, np.uint16, np.int64, np.int64), strict=True):
+                found.append(_unpacked(raw[at : at + length], kind))
+                at += length
+            tokens.append(np.cumsum(found[0], dtype=np.uint64))
+            docs.append(found[2][found[1]])
+            sizes.append(found[3][found[1]])
+        token, doc, size = np.concatenate(tokens), np.concatenate(docs), np.concatenate(sizes)
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        many = np.diff(np.append(first, len(token)))
+        many = np.repeat(many, many)
+        keep = many > 1
+        order = order[keep]
+        token = token[keep] << np.uint64(16) | np.minimum(many[keep], 65535).astype(np.uint64)
+        doc, size = doc[order], size[order]
+        part = mixed(doc.view(np.uint64)) % np.uint64(parts)
+        order = np.lexsort((doc, part))
+        token, doc, size, part = token[order], doc[order], size[order], part[order].astype(np.int32)
+        cut = np.searchsorted(part, np.arange(parts + 1))
+        full = np.flatnonzero(np.diff(cut))
+        ends = cut[full + 1]
+        return pa.table(
+            [pa.array(full.astype(np.int32)), *(binaries(x, ends) for x in (token, doc, size))],
+            names=["part", "tokens", "docs", "sizes"],
+        )
+
+    return share
+
+
+def _prefixes(group: pa.Table) -> pa.Table:
+    """One part: sets with enough shared shingles, these ascending, and the rarest that are merged."""
+
+    def whole(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group[name]])
+
+    token, doc, size = whole("tokens", np.uint64), whole("docs", np.int64), whole("sizes", np.int64)
+    order = np.lexsort((token, doc))
     token, doc, size = token[order], doc[order], size[order]
-    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])])
+    token, doc, size = token[new], doc[new], size[new]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    held = np.diff(np.append(first, len(doc)))
+    n = size[first]
+    take = n - needed(n) + 1 - (n - held)
+    chosen = np.flatnonzero(take > 0)
+    tokens, prefix = [], []
+    for i in chosen:
+        own = token[first[i] : first[i] + held[i]]
+        plain, count = own >> np.uint64(16), own & np.uint64(0xFFFF)
+        tokens.append(plain.tobytes())
+        prefix.append(plain[np.lexsort((plain, count))[: take[i]]].astype(np.int64))
     return pa.table(
-        [pa.array(doc[first]), pa.array(size[first]), binaries(token, np.append(first[1:], len(doc))[: len(first)])],
-        names=["doc_id", "n", "tokens"],
+        [pa.array(doc[first[chosen]]), pa.array(n[chosen]), pa.array(tokens, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
+        names=["doc_id", "n", "tokens", "prefix"],
     )
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets with enough shared shingles: these, ascending, and the rarest that are merged."""
-    for batch in batches:
-        ids, sizes, tokens, prefix = [], [], [], []
-        for doc, n, parts in zip(batch["doc_id"].to_pylist(), batch["n"].to_pylist(), batch["tokens"], strict=True):
-            held = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in parts.values]))
-            take = n - needed(n) + 1 - (n - len(held))
-            if take < 1:
-                continue
-            token, count = held >> np.uint64(16), held & np.uint64(0xFFFF)
-            ids.append(doc)
-            sizes.append(n)
-            tokens.append(token.tobytes())
-            prefix.append(token[np.lexsort((token, count))[:take]].astype(np.int64))
-        yield pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
-            ["doc_id", "n", "tokens", "prefix"],
-        )
-
-
 class Index:
     """Inverted lists of some sets, searched with DivideSkip."""
 
@@ -314,9 +329,10 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, block: int = BLOCK) -
     buckets = max(1, -(-total // bucket))
     chosen = docs.select("doc_id", "text").join(sets.select(F.col("set_id").alias("doc_id"), "h1"), "doc_id")
     dealt = texts(chosen, "h1").mapInArrow(_dealt(buckets), "bucket int, payload binary")
-    shared = dealt.repartition(max(8, buckets), "bucket").groupBy("bucket").applyInArrow(_shared, "doc_id long, n long, tokens binary")
-    gathered = shared.groupBy("doc_id", "n").agg(F.collect_list("tokens").alias("tokens"))
-    sets_near = stored(gathered.mapInArrow(_prefixes, "doc_id long, n long, tokens binary, prefix array<long>"), "near-sets")
+    dealt = dealt.repartition(max(8, buckets), "bucket")
+    shared = dealt.groupBy("bucket").applyInArrow(_shared(buckets), "part int, tokens binary, docs binary, sizes binary")
+    parted = shared.repartition(max(8, buckets), "part").groupBy("part")
+    sets_near = stored(parted.applyInArrow(_prefixes, "doc_id long, n long, tokens binary, prefix array<long>"), "near-sets")
     of = components(set_links(sets_near, block), "near").select(F.col("node").alias("set_id"), "component")
     labelled = sets.join(of, "set_id", "left").select("h1", "h2", "n_shingles", "set_id", F.coalesce("component", "set_id").alias("c"))
     return signed.join(labelled, ["h1", "h2", "n_shingles"], "left").select(
