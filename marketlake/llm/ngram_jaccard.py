@@ -341,3 +341,10 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET, block: int = BLOCK) -
         F.coalesce("c", "doc_id").alias("component_id"),
         F.coalesce("set_id", "doc_id").alias("set_id"),
     )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """`docs` with one row of each component: that of its least doc_id. Rows without doc_id stay."""
+    gone = stored(near_duplicates(docs).where("doc_id <> component_id").select("doc_id"), "near-copies")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))

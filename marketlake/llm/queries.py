@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from marketlake.llm import decontamination, packing, pii, quality
 from marketlake.llm.common import table
 from marketlake.llm.ngram_jaccard import near_duplicates
 from marketlake.llm.suffix_dedup import remove_repeats
@@ -19,9 +21,30 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_pii": op3_pii,
+    "op5_quality": op5_quality,
+    "op7_decontamination": op7_decontamination,
+    "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: Queries without a twin here are tested against plain versions in tests/llm.
