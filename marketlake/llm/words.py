@@ -28,7 +28,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    if len(have := _POWERS.get(base, ())) < n:
+    if len(have := _POWERS.get(base, ())) < max(n, 1):
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         _POWERS[base] = np.multiply.accumulate(have)
