@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-1. Word 4-grams of the test items (an item with fewer words gives its whole sequence) are counted in all
-   documents; of each item the rarer half, by corpus counts, are its seeds. The choice is relative to the item,
-   so an item that many documents copy keeps its seeds.
+1. Word 4-grams of the test items (an item with fewer words gives its whole sequence, looked for at its own
+   width) are counted in all documents; of each item's grams that occur, the rarer half are its seeds. The
+   choice is relative to the item, so an item that many documents copy keeps its seeds.
 2. Each seed hit in a document fixes a diagonal. Around the diagonals of an item (its length and a margin on
    both sides, overlapping ranges united) a local alignment of words scores match 2, mismatch -1, gap -1, so
    edited and reordered copies still score high.
@@ -50,8 +50,13 @@ class Items:
     def hashes(self) -> np.ndarray:
         return np.unique(self.grams)
 
+    @property
+    def widths(self) -> list[int]:
+        """Gram widths to look for in documents."""
+        return sorted({min(len(w), GRAM) for w in self.words} - {0})
+
     def rare(self, counts: dict[int, int]) -> Items:
-        """Only the grams of each item whose corpus count is at most the item's median."""
+        """Of the grams of each item that occur in the corpus, those whose count is at most the median."""
         count = np.array([counts.get(int(g), 0) for g in self.grams.view(np.int64)])
         keep = np.zeros(len(count), bool)
         order = np.lexsort((count, self.item))
@@ -59,16 +64,17 @@ class Items:
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             if hi > lo:
                 own = order[lo:hi]
-                keep[own[count[own] <= count[own[(hi - lo) // 2]]]] = True
+                own = own[count[own] > 0]
+                keep[own[count[own] <= count[own[len(own) // 2 : len(own) // 2 + 1]].max(initial=0)]] = True
         return Items(self.ids, self.words, self.grams[keep], self.item[keep], self.place[keep])
 
 
-def _grams(word: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grams(word: np.ndarray, doc: np.ndarray, n: int, width: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text and place (in words of all texts) of each gram."""
-    hashes, of = shingles(word, doc, n, GRAM)
+    hashes, of = shingles(word, doc, n, width)
     begins = np.searchsorted(doc, np.arange(n))
-    full = len(word) - GRAM + 1
-    own = np.flatnonzero(doc[: max(0, full)] == doc[GRAM - 1 :]) if full > 0 else np.zeros(0, np.int64)
+    full = len(word) - width + 1
+    own = np.flatnonzero(doc[: max(0, full)] == doc[width - 1 :]) if full > 0 else np.zeros(0, np.int64)
     return hashes, of, np.concatenate([own, begins[of[len(own) :]]])
 
 
@@ -101,21 +107,25 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, at
 
 
-def _hits(part: pa.Table, hashes: np.ndarray):
+def _hits(part: pa.Table, hashes: np.ndarray, widths: list[int]):
+    """Words of the texts and their documents; hash, document and place of the grams that are looked for."""
     data, offsets = bytes_of(part["text"])
     start, end, doc = word_bounds(data, offsets)
     word = word_hashes(data, start, end)
-    gram, of, place = _grams(word, doc, part.num_rows)
-    at = np.minimum(np.searchsorted(hashes, gram), len(hashes) - 1)
-    hit = np.flatnonzero(hashes[at] == gram)
-    return word, doc, gram[hit], of[hit], place[hit]
+    found = []
+    for width in widths:
+        gram, of, place = _grams(word, doc, part.num_rows, width)
+        at = np.minimum(np.searchsorted(hashes, gram), len(hashes) - 1)
+        hit = np.flatnonzero(hashes[at] == gram)
+        found.append((gram[hit], of[hit], place[hit]))
+    return word, doc, *map(np.concatenate, zip(*found, strict=True))
 
 
-def _counted(hashes: np.ndarray):
+def _counted(hashes: np.ndarray, widths: list[int]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(hashes), np.int64)
         for part in chunks(batches, STEP):
-            gram = _hits(part, hashes)[2]
+            gram = _hits(part, hashes, widths)[2]
             total += np.bincount(np.searchsorted(hashes, gram), minlength=len(hashes))
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(hashes[some].view(np.int64)), pa.array(total[some])], ["gram", "n"])
@@ -124,11 +134,11 @@ def _counted(hashes: np.ndarray):
 
 
 def _aligned(items: Items, least: float):
-    hashes = items.hashes
+    hashes, widths = items.hashes, items.widths
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, STEP):
-            word, doc, gram, of, place = _hits(part, hashes)
+            word, doc, gram, of, place = _hits(part, hashes, widths)
             begins = np.searchsorted(doc, np.arange(part.num_rows + 1))
             lo, hi = np.searchsorted(items.grams, gram), np.searchsorted(items.grams, gram, side="right")
             times = hi - lo
@@ -183,8 +193,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, bl
         known = items_of([tuple(r) for r in rows])
         if not len(known.grams):
             continue
-        counted = source.mapInArrow(_counted(known.hashes), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        counted = source.mapInArrow(_counted(known.hashes, known.widths), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         seeds = known.rare({r.gram: r.n for r in counted.collect()})
+        if not len(seeds.grams):
+            continue
         out = out.union(source.mapInArrow(_aligned(seeds, least), schema))
     return out
 

@@ -50,3 +50,21 @@ def repeats_removed(rows, window):
         rest = bytes(c for c, g in zip(t, gone, strict=True) if not g)
         out.append((doc, len(t), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
     return sorted(out, key=repr)
+
+
+def base_scores(rows):
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score) of each row."""
+    import math
+    import zlib
+    from collections import Counter
+
+    def tokens(text):
+        return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")), None]
+
+    held = [zlib.crc32(("" if doc is None else str(doc)).encode()) % 7 == 2 for doc, _ in rows]
+    count = Counter(t for (_, text), h in zip(rows, held, strict=True) if not h for t in tokens(text))
+    total, different = sum(count.values()), len(count)
+    return [
+        (doc, h, len(tokens(text)), sum(count[t] > 0 for t in tokens(text)), total, sum(math.log10((count[t] + 1) / (total + different + 1)) for t in tokens(text)))
+        for (doc, text), h in zip(rows, held, strict=True)
+    ]
