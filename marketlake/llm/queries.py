@@ -101,17 +101,17 @@ ORACLE: dict[str, str] = {
             SELECT CASE WHEN page_id % 5 = 0 THEN 'allow' ELSE 'block' END AS list,
                 CASE page_id % 3 WHEN 0 THEN 'host' WHEN 1 THEN 'domain' ELSE 'path' END AS kind,
                 CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]*\.', '') ELSE concat_ws('/', host, step) END AS pattern,
-                ts AS at,
+                ts AS changed,
                 max(CASE WHEN event_type IN ('signup', 'purchase', 'error') THEN 'add' ELSE 'remove' END) AS action
             FROM events JOIN named ON event_id = page_id WHERE ts IS NOT NULL GROUP BY 1, 2, 3, 4
         ),
         valid AS (
-            SELECT *, lead(at) OVER (PARTITION BY list, kind, pattern ORDER BY at) AS until FROM changes
+            SELECT *, lead(changed) OVER (PARTITION BY list, kind, pattern ORDER BY changed) AS until FROM changes
         ),
         met AS (
             SELECT n.page_id, v.list, v.kind, v.pattern,
                 CASE v.kind WHEN 'path' THEN 3 WHEN 'host' THEN 2 ELSE 1 END AS level
-            FROM named n JOIN valid v ON v.action = 'add' AND v.at <= n.fetched_at AND (v.until IS NULL OR n.fetched_at < v.until)
+            FROM named n JOIN valid v ON v.action = 'add' AND v.changed <= n.fetched_at AND (v.until IS NULL OR n.fetched_at < v.until)
                 AND n.host <> '' AND CASE v.kind WHEN 'host' THEN n.host = v.pattern
                     WHEN 'domain' THEN n.host = v.pattern OR ends_with(n.host, '.' || v.pattern)
                     ELSE concat_ws('/', n.host, n.step) = v.pattern END
