@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,10 @@ from pyspark.sql import functions as F
 from marketlake.session import working_path
 
 
+#: Rows of text that a Python worker is sent at once: texts are long, and two workers share an executor's memory.
+ROWS = 2_000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -25,8 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > ROWS:
+        spark.conf.set(key, str(ROWS))
+
+
 def texts(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id and the text as bytes; a null text is empty."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *extra)
 
 
@@ -62,6 +74,14 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int, rows: int = 60_000, col
                 held, size, count = [], 0, 0
     if held:
         yield pa.Table.from_batches(held)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on from stage to stage beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:

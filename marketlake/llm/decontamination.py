@@ -33,7 +33,7 @@ LEAST = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 #: Bytes of items that travel at once.
 BLOCK = 4_000_000
-STEP = 4_000_000
+STEP = 1_500_000
 
 
 @dataclass(frozen=True)

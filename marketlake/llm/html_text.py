@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import small_batches
+
 #: Frequent words of the languages covered.
 STOP = frozenset(
     """
@@ -173,5 +175,6 @@ def extract(pages: DataFrame) -> DataFrame:
             columns = [batch["page_id"], batch["url"], pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())]
             yield pa.record_batch(columns, ["page_id", "url", "text", "n_chars"])
 
+    small_batches(pages.sparkSession)
     chosen = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     return chosen.mapInArrow(run, "page_id long, url string, text string, n_chars long")

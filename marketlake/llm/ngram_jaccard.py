@@ -31,16 +31,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import binaries, bytes_of, chunks, components, stored, texts
+from marketlake.llm.common import binaries, bytes_of, chunks, components, release, stored, texts
 from marketlake.llm.words import mixed, shingles, word_bounds, word_hashes
 
 BITS = np.uint64(48)
 LOW = np.uint64(2**48 - 1)
 #: Shingles of a bucket, and of a block of a large component.
-BUCKET = 3_000_000
-BLOCK = 2_000_000
+BUCKET = 1_500_000
+BLOCK = 1_000_000
 #: Text bytes that a task turns to arrays at once.
-STEP = 6_000_000
+STEP = 2_500_000
 
 
 def needed(n):
@@ -156,6 +156,7 @@ def _shared(parts: int):
         cut = np.searchsorted(part, np.arange(parts + 1))
         full = np.flatnonzero(np.diff(cut))
         ends = cut[full + 1]
+        release()
         return pa.table(
             [pa.array(full.astype(np.int32)), *(binaries(x, ends) for x in (token, doc, size))],
             names=["part", "tokens", "docs", "sizes"],
@@ -186,6 +187,7 @@ def _prefixes(group: pa.Table) -> pa.Table:
         plain, count = own >> np.uint64(16), own & np.uint64(0xFFFF)
         tokens.append(plain.tobytes())
         prefix.append(plain[np.lexsort((plain, count))[: take[i]]].astype(np.int64))
+    release()
     return pa.table(
         [pa.array(doc[first[chosen]]), pa.array(n[chosen]), pa.array(tokens, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
         names=["doc_id", "n", "tokens", "prefix"],
@@ -268,6 +270,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(row[3:])
         if found:
             yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+    release()
     if held and (found := linked(held)):
         yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 

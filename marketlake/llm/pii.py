@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import small_batches
+
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "local_phone")
 #: Context words of each kind, in several languages.
@@ -145,6 +147,7 @@ def find(docs: DataFrame, least: float = 0.6) -> DataFrame:
             columns += [pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(scores, pa.list_(pa.float64()))]
             yield pa.record_batch(columns, [f.name for f in schema])
 
+    small_batches(docs.sparkSession)
     schema = [pa.field(n, pa.null()) for n in ("doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", "scores")]
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         look, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores array<double>"
@@ -155,6 +158,7 @@ def redact(docs: DataFrame, least: float = 0.6) -> DataFrame:
     """`docs` with personal data in `text` replaced by tags, n_chars set anew; rows without text stay as they are."""
 
     columns = docs.columns
+    small_batches(docs.sparkSession)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = columns.index("text")

@@ -33,7 +33,7 @@ NAMES = (
 LEAST = 0.3
 POOLED = 0.1
 IDENTITY = 0.01
-STEP = 4_000_000
+STEP = 1_500_000
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[ord("A") : ord("Z") + 1] = 1

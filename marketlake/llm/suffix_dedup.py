@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import bytes_of, chunks, stored, texts
+from marketlake.llm.common import bytes_of, chunks, release, stored, texts
 from marketlake.llm.words import BYTE, mixed, powers
 
 WINDOW = 400
 SEED = 128
 #: Text bytes that a task turns to arrays at once; bytes of a shard.
-STEP = 4_000_000
+STEP = 2_000_000
 SHARD = 2_000_000
 #: Contexts of an anchor from which on they are thinned first.
 MANY = 2_000
@@ -373,6 +373,7 @@ def _shard(window: int):
         pieces = [x.as_buffer().to_pybytes() for x in group["piece"]]
         more, weight = (np.asarray(group[c].combine_chunks()).astype(np.int64) for c in ("more", "weight"))
         found = repeated_starts(pieces, more, weight, window)
+        release()
         keep = np.array([len(f) > 0 for f in found])
         runs = pa.array([_runs(f) for f in found if len(f)], pa.binary())
         return pa.table([group["anchor"].filter(pa.array(keep)), group["context"].filter(pa.array(keep)), runs], names=["anchor", "context", "runs"])
