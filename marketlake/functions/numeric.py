@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 UNIT = 10_000
 
 
+def _nearest(x: Column, scale: float) -> Column:
+    """The nearest whole number of 1/scale, halves away from zero; null for null and NaN."""
+    up = F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5))
+    return F.when(F.isnan(x), F.lit(None)).when(x < 0, -up).otherwise(up)
+
+
 def round_half_up(x: Column, dp: int = 2) -> Column:
     scale = float(10**dp)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return _nearest(x, scale) / F.lit(scale)
 
 
 def units(x: Column) -> Column:
-    """A double as a bigint count of 1/10,000."""
-    return F.floor(x * F.lit(float(UNIT)) + F.lit(0.5))
+    """A double as a bigint count of 1/10,000: further decimals are rounded, NaN is null."""
+    return _nearest(x, float(UNIT))
 
 
 def exact_sum(x: Column) -> Column:

@@ -10,6 +10,12 @@ def parse_ts(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def earliest_first(text: Column) -> Column:
+    """A sort key by time, whatever the text's offset and precision; what is no time comes last."""
+    at = parse_ts(text).cast("timestamp")
+    return F.struct(at.isNull().alias("none"), at.alias("at"))
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since the epoch; a TIMESTAMP_NTZ is read in the session zone."""
     return F.unix_micros(ts.cast("timestamp"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.numeric import finite
-from marketlake.functions.timefn import is_weekend, parse_ts, weekday_name
+from marketlake.functions.timefn import earliest_first, is_weekend, parse_ts, weekday_name
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
@@ -34,7 +34,7 @@ def clean_clicks(raw: DataFrame, stamp: Column | None = None) -> DataFrame:
 
     `timestamp` is ISO text or already a timestamp. Text that cannot be parsed gives null parts.
     """
-    first = keep_first(raw.filter(F.col("event_id").isNotNull()), ["event_id"], F.col("timestamp"))
+    first = keep_first(raw.filter(F.col("event_id").isNotNull()), ["event_id"], earliest_first(F.col("timestamp")))
     ts = parse_ts(F.col("timestamp"))
     return first.withColumns(
         {
@@ -58,7 +58,7 @@ def clean_orders(raw: DataFrame, stamp: Column | None = None) -> DataFrame:
         }
     )
     usable = typed.filter(F.col("order_id").isNotNull() & F.col("total").isNotNull())
-    first = keep_first(usable, ["order_id"], F.col("created_at"))
+    first = keep_first(usable, ["order_id"], earliest_first(F.col("created_at")))
     return first.withColumns(
         {
             "order_date": F.to_date(parse_ts(F.col("created_at"))),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.timefn import earliest_first, parse_ts
+
 from marketlake.config import StockRules
 
 
@@ -52,11 +54,12 @@ def latest_stock(events: DataFrame) -> DataFrame:
 
 def stock_changes(events: DataFrame) -> DataFrame:
     """Updates of one batch reduced to a row per product: its newest state and first category."""
+    at = parse_ts(F.col("timestamp")).cast("timestamp").alias("at")
     newest = F.struct(
-        "timestamp", "event_id", F.col("current_stock").alias("stock_level"),
+        at, "timestamp", "event_id", F.col("current_stock").alias("stock_level"),
         F.coalesce("warehouse_id", F.lit("unknown")).alias("warehouse_id"),
     )
-    oldest = F.struct("timestamp", "event_id", F.coalesce("category", F.lit("unknown")).alias("category"))
+    oldest = F.struct(earliest_first(F.col("timestamp")).alias("at"), "timestamp", "event_id", F.coalesce("category", F.lit("unknown")).alias("category"))
     return events.groupBy("product_id").agg(F.max(newest).alias("newest"), F.min(oldest).alias("oldest"))
 
 

@@ -13,12 +13,17 @@ from marketlake.operators.scoring import popular_items, top_scores
 _META = ("category", "unit_price", "stock_level")
 
 
+def _usable(rules: RecoRules) -> Column:
+    named = F.coalesce(F.col("customer_id").cast("string"), F.lit("")) != ""
+    return named & (F.coalesce(F.col("n"), F.lit(rules.default_n)) >= 1)
+
+
 def normalise_requests(requests: DataFrame, rules: RecoRules = RecoRules()) -> DataFrame:
     """Requests with n (5 when absent, 20 at most) and the category in search form.
 
-    A customer is required; requests without one are left out (see `rejected_requests`).
+    A customer and an n above 0 are required; other requests are left out (see `rejected_requests`).
     """
-    return requests.filter(F.coalesce(F.col("customer_id").cast("string"), F.lit("")) != "").withColumns(
+    return requests.filter(_usable(rules)).withColumns(
         {
             "n": F.least(F.coalesce("n", F.lit(rules.default_n)), F.lit(rules.max_n)),
             "category": category_key(F.coalesce("category", F.lit(""))),
@@ -26,8 +31,8 @@ def normalise_requests(requests: DataFrame, rules: RecoRules = RecoRules()) -> D
     )
 
 
-def rejected_requests(requests: DataFrame) -> DataFrame:
-    return requests.filter(F.coalesce(F.col("customer_id").cast("string"), F.lit("")) == "")
+def rejected_requests(requests: DataFrame, rules: RecoRules = RecoRules()) -> DataFrame:
+    return requests.filter(~_usable(rules))
 
 
 def _pool_entry() -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 def r(x: str, dp: int = 2) -> str:
     s = f"{10**dp}e0"
-    return f"(floor(({x})*{s}+0.5e0)/{s})"
+    return f"(CAST(sign({x})*floor(abs({x})*{s}+0.5e0) AS BIGINT)/{s})"
 
 
 def units(x: str) -> str:
-    return f"CAST(floor(({x})*10000e0+0.5e0) AS BIGINT)"
+    return f"CAST(sign({x})*floor(abs({x})*10000e0+0.5e0) AS BIGINT)"
 
 
 def total(x: str) -> str:

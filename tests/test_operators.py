@@ -255,3 +255,22 @@ def test_text_and_maps(spark):
     ).first()
     assert tuple(got)[1:] == ("home_decor", True, False, "2", "credit_card", "credit_card", "pending", "confirmed")
     assert got[0].startswith("Home D") and got[0].endswith(" Big-Size")
+
+
+def test_halves_go_away_from_zero_and_nan_is_null(spark, rows):
+    from marketlake.functions.numeric import round_half_up, units
+
+    df = spark.createDataFrame([(-2.675,), (2.675,), (-1.5,), (1.5,), (-0.001,), (float("nan"),), (None,)], "x double")
+    got = [tuple(r) for r in df.select(round_half_up(F.col("x")), round_half_up(F.col("x"), 0), units(F.col("x"))).collect()]
+    assert got == [(-2.68, -3.0, -26750), (2.68, 3.0, 26750), (-1.5, -2.0, -15000), (1.5, 2.0, 15000), (0.0, 0.0, -10), (None,) * 3, (None,) * 3]
+
+
+def test_copies_and_stock_are_ordered_by_time_not_text(spark, rows):
+    from marketlake.operators.inventory import latest_stock
+
+    stamps = [("a", "2024-01-01T00:00:00.500000Z", 9), ("a", "2024-01-01T00:00:00Z", 1), ("b", "2024-01-01T02:00:00+02:00", 1), ("b", "2024-01-01T01:00:00+00:00", 9), ("b", "soon", 5), ("b", None, 6)]
+    events = spark.createDataFrame(
+        [(p, t, f"e{i}", n, "w", "c", "n") for i, (p, t, n) in enumerate(stamps)],
+        "product_id string, timestamp string, event_id string, current_stock int, warehouse_id string, category string, product_name string",
+    )
+    assert rows(latest_stock(events), "product_id", "stock_level") == [("a", 9), ("b", 9)]
