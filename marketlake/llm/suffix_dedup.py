@@ -2,7 +2,7 @@
 
 Suffix arrays by induced sorting, sharded so that equal strings always meet:
 
-1. Each 400-byte window of a text has an anchor: the leftmost of its 128-byte substrings with the least
+1. Each 400-byte window of a text has an anchor: the leftmost of its 48-byte substrings with the least
    hash. The anchor depends on the window's bytes alone, so equal windows have equal anchors at equal
    offsets, and the windows of one anchor occurrence start in one range (sliding minima, content-defined).
 2. Anchors that occur once hold no repeated window and are done. Of the others, occurrences with the same
@@ -14,7 +14,7 @@ Suffix arrays by induced sorting, sharded so that equal strings always meet:
    prefixes >= 400 that starts at two or more windows (contexts counted) is a repeated string.
 4. Ranges of repeated starts return to the occurrences and are united to spans per document.
 
-Anchors with very many different contexts (a passage of 128 to 399 bytes in many documents) would make one
+Anchors with very many different contexts (a passage of 48 to 399 bytes in many documents) would make one
 shard too large: their contexts are first thinned to windows whose 64-bit hash occurs twice under the
 anchor, counted by Spark over all of them; only contexts that keep such a window reach the shard.
 
@@ -37,7 +37,7 @@ from marketlake.llm.common import bytes_of, chunks, release, stored, texts
 from marketlake.llm.words import BYTE, mixed, powers
 
 WINDOW = 400
-SEED = 128
+SEED = 48
 #: Text bytes that a task turns to arrays at once; bytes of a shard.
 STEP = 2_000_000
 SHARD = 2_000_000
@@ -370,6 +370,9 @@ def _cut_out(window: int):
 
 def _shard(window: int):
     def search(group: pa.Table) -> pa.Table:
+        # rows equal in id and text bring the same contexts: one of each is enough, its weight counts them all
+        pairs = np.stack([np.asarray(group[c].combine_chunks()) for c in ("anchor", "context")])
+        group = group.take(pa.array(np.unique(pairs, axis=1, return_index=True)[1]))
         pieces = [x.as_buffer().to_pybytes() for x in group["piece"]]
         more, weight = (np.asarray(group[c].combine_chunks()).astype(np.int64) for c in ("more", "weight"))
         found = repeated_starts(pieces, more, weight, window)
@@ -423,30 +426,37 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, shar
         _occurrences(window, seed), "doc_id long, own long, start long, more int, anchor long, context long"
     )
     found = stored(found, "anchors")
+    often = found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
+    found = stored(found.join(often, "anchor"), "repeated")
     contexts = found.groupBy("anchor", "context").agg(
         F.count("*").alias("weight"), F.min(F.struct("doc_id", "own", "start", "more")).alias("at")
     )
     contexts = stored(contexts, "contexts")
-    anchors = contexts.groupBy("anchor").agg(F.sum("weight").alias("total"), F.count("*").alias("different")).where("total > 1")
-    picked = contexts.join(anchors, "anchor").select(
+    large = contexts.groupBy("anchor").agg(F.count("*").alias("different")).where(F.col("different") > many)
+    large = stored(large, "large-anchors")
+    picked = contexts.join(large, "anchor", "left").select(
         F.col("at.doc_id").alias("doc_id"),
         F.col("at.own").alias("own"),
-        F.struct("anchor", "context", "weight", F.col("at.start").alias("start"), F.col("at.more").alias("more"), (F.col("different") > many).alias("hot")).alias("w"),
+        F.struct("anchor", "context", "weight", F.col("at.start").alias("start"), F.col("at.more").alias("more"), F.col("different").isNotNull().alias("hot")).alias("w"),
     )
     wanted = picked.groupBy("doc_id", "own").agg(F.collect_list("w").alias("wanted"))
     source = rows.select("doc_id", "own", "text").join(wanted, ["doc_id", "own"]).select("text", "wanted")
-    pieces = stored(
-        source.mapInArrow(_cut_out(window), "anchor long, context long, weight long, more int, piece binary, hashes array<long>"), "pieces"
-    ).dropDuplicates(["anchor", "context"])
-    cold = pieces.where("piece is not null")
-    total = cold.agg(F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()[0]
+    pieces = source.mapInArrow(_cut_out(window), "anchor long, context long, weight long, more int, piece binary, hashes array<long>")
+    thinned = bool(large.head(1))
+    if thinned:
+        pieces = stored(pieces, "pieces")
+    total = contexts.agg(F.coalesce(F.sum(F.col("at.more") + window), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard))
+    cold = pieces.where("piece is not null")
     cold = cold.select("anchor", "context", "weight", "more", "piece", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"))
     runs = cold.repartition(max(8, shards), "shard").groupBy("shard").applyInArrow(_shard(window), "anchor long, context long, runs binary")
-    hot = pieces.where("piece is null").select("anchor", "context", "weight", F.posexplode("hashes").alias("place", "hash"))
-    often = hot.groupBy("anchor", "hash").agg(F.sum("weight").alias("k")).where("k > 1").select("anchor", "hash")
-    places = hot.join(often, ["anchor", "hash"]).groupBy("anchor", "context").agg(F.collect_list("place").alias("places"))
-    runs = stored(runs.union(places.mapInArrow(_hot_runs, "anchor long, context long, runs binary")), "runs")
+    if thinned:
+        hot = pieces.where("piece is null").dropDuplicates(["anchor", "context"])
+        hot = hot.select("anchor", "context", "weight", F.posexplode("hashes").alias("place", "hash"))
+        often = hot.groupBy("anchor", "hash").agg(F.sum("weight").alias("k")).where("k > 1").select("anchor", "hash")
+        places = hot.join(often, ["anchor", "hash"]).groupBy("anchor", "context").agg(F.collect_list("place").alias("places"))
+        runs = runs.union(places.mapInArrow(_hot_runs, "anchor long, context long, runs binary"))
+    runs = stored(runs, "runs")
     spans = found.join(runs, ["anchor", "context"]).groupBy("doc_id", "own").agg(F.collect_list(F.struct("start", "runs")).alias("found"))
     whole = rows.join(spans, ["doc_id", "own"], "left")
     whole = whole.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "text", "found")
