@@ -43,6 +43,8 @@ STEP = 2_000_000
 SHARD = 2_000_000
 #: Contexts of an anchor from which on they are thinned first.
 MANY = 2_000
+#: Parts of a hot anchor.
+SALTS = 16
 _ROLL = 0xD1342543DE82EF95
 _LETTER = np.random.default_rng(77).integers(1, 2**63, 4097, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64(23)
@@ -427,7 +429,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, shar
     )
     found = stored(found, "anchors")
     often = found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
-    found = stored(found.join(often, "anchor"), "repeated")
+    # salted: an anchor of a large group of copies is cut in several tasks
+    often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
+    found = stored(salted.join(often, ["anchor", "salt"]).drop("salt"), "repeated")
     contexts = found.groupBy("anchor", "context").agg(
         F.count("*").alias("weight"), F.min(F.struct("doc_id", "own", "start", "more")).alias("at")
     )
