@@ -80,9 +80,9 @@ def test_pool_is_eight_times_n(spark):
 
 
 def test_request_limits(spark, rows):
-    frame = spark.createDataFrame([("u", 99, None), ("v", None, " A b "), (None, 1, None), ("", 1, None)], "customer_id string, n int, category string")
+    frame = spark.createDataFrame([("u", 99, None), ("v", None, " A b "), (None, 1, None), ("", 1, None), ("w", -1, None), ("w", 0, None)], "customer_id string, n int, category string")
     assert rows(recommend.normalise_requests(frame)) == [("u", 20, ""), ("v", 5, "a_b")]
-    assert recommend.rejected_requests(frame).count() == 2
+    assert recommend.rejected_requests(frame).count() == 4
 
 
 def test_equal_requests_are_answered_once(spark):
