@@ -59,7 +59,6 @@ class StockRules:
 @dataclass(frozen=True)
 class SessionRules:
     gap_s: int = 1800
-    slot_s: int = 3600
     anonymous: str = "anonymous"
 
 

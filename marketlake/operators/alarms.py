@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import AlarmRule
-from marketlake.functions.numeric import exact_avg, exact_sum
+from marketlake.functions.numeric import UNIT, exact_avg, exact_sum, units
 
 
 def metric_series(metrics: DataFrame, period_s: int, statistic: str) -> DataFrame:
@@ -20,6 +20,23 @@ def metric_series(metrics: DataFrame, period_s: int, statistic: str) -> DataFram
     )
 
 
+def metric_parts(metrics: DataFrame, period_s: int) -> DataFrame:
+    """What one batch adds to each tumbling window: sum in units, number and greatest value."""
+    value = F.col("value")
+    return (
+        metrics.groupBy("metric", F.window("ts", f"{period_s} seconds").alias("w"))
+        .agg(F.sum(units(value)).alias("units"), F.count(value).alias("n"), F.max(value).alias("top"))
+        .select("metric", F.col("w.start").alias("window_start"), "units", "n", "top")
+    )
+
+
+def fold_parts(parts: DataFrame, statistic: str) -> DataFrame:
+    """The series of `metric_series` from the parts of any number of batches."""
+    total = F.sum("units")
+    stats = {"sum": total / F.lit(float(UNIT)), "max": F.max("top"), "avg": total / F.sum("n") / F.lit(float(UNIT))}
+    return parts.groupBy("metric", "window_start").agg(stats[statistic].alias("stat"))
+
+
 def breaches(series: DataFrame, rule: AlarmRule) -> DataFrame:
     """Windows of a series at which the rule is in alarm.
 

@@ -13,15 +13,20 @@ def sessionize(clicks: DataFrame, rules: SessionRules = SessionRules()) -> DataF
     """One row per session: a new one starts after more than `gap_s` without a click.
 
     `timestamp` is ISO text or a timestamp; clicks without a readable time are left out.
+    """
+    return merge_slots(session_slots(clicks, rules), rules)
+
+
+def session_slots(clicks: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
+    """One row per (session_id, slot).
 
-    Two clicks in the same gap-wide slot of time are never further apart than the gap, so
-    clicks are first reduced to one row per (session_id, slot), map-side. Only those rows are
-    put in order per session_id: at most one per slot of time, however many clicks it has.
+    Two clicks in the same gap-wide slot of time are never further apart than the gap, so clicks are
+    first reduced to one row per slot, map-side.
     """
     gap_us = rules.gap_s * 1_000_000
     us = micros(parse_ts(F.col("timestamp")))
     first = F.struct(F.col("us"), F.col("event_id"), F.col("customer_id"))
-    slots = (
+    return (
         clicks.select("session_id", "event_id", "customer_id", us.alias("us"))
         .filter(F.col("session_id").isNotNull() & F.col("us").isNotNull())
         .groupBy("session_id", F.floor(F.col("us") / F.lit(gap_us)).alias("slot"))
@@ -32,6 +37,18 @@ def sessionize(clicks: DataFrame, rules: SessionRules = SessionRules()) -> DataF
             F.min(first).alias("first"),
         )
     )
+
+
+def fold_slots(slots: DataFrame) -> DataFrame:
+    """Slots gathered in several batches, one row for each again."""
+    return slots.groupBy("session_id", "slot").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"), F.min("first").alias("first")
+    )
+
+
+def merge_slots(slots: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
+    """Sessions from slots. Only slots are put in order per session_id: at most one per slot of time."""
+    gap_us = rules.gap_s * 1_000_000
     by_time = Window.partitionBy("session_id").orderBy("slot")
     opens = F.coalesce(F.col("start") - F.lag("end").over(by_time) > gap_us, F.lit(True))
     numbered = slots.withColumn("opens", opens.cast("int")).withColumn("no", F.sum("opens").over(by_time))

@@ -21,15 +21,22 @@ from marketlake.streaming import clicks as click_jobs
 from marketlake.streaming import orders as order_jobs
 from marketlake.streaming import sinks
 from marketlake.streaming.alarms import AlarmJob
-from marketlake.streaming.inventory import StockJob, stock_stream
+from marketlake.streaming.inventory import StockJob
 
-LATE = "24 hours"
+PIECES = 5
 
 
 def _iso(ts: str):
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def _shuffled_text(bodies: DataFrame, name: str) -> str:
+    """Message bodies in several files, in an order that has nothing to do with their times."""
+    path = working_path(bodies.sparkSession, name)
+    bodies.repartition(PIECES, F.xxhash64("body")).write.text(path)
+    return path
+
+
 def _written_text(bodies: DataFrame, name: str) -> str:
     """Message bodies as text files, as a queue consumer would find them."""
     path = working_path(bodies.sparkSession, name)
@@ -255,10 +262,10 @@ def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
 
 
 def _run_orders(spark: SparkSession, d: str) -> order_jobs.OrderJob:
-    """Orders, each delivered twice, run through the order stream."""
-    path = _written_text(_order_bodies(spark, d, copies=2), "order-messages")
+    """Orders, each delivered twice, in several files and batches out of time order, run through the order stream."""
+    path = _shuffled_text(_order_bodies(spark, d, copies=2), "order-messages")
     job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0), log_by="month")
-    order_jobs.run_now(job.start(messages.message_stream(spark, path)))
+    sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job
 
 
@@ -303,9 +310,9 @@ def enriched_click_stream(spark: SparkSession, d: str) -> DataFrame:
 def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
     """Clicks delivered twice, deduplicated on the stream."""
     twice = _click_bodies(spark, d).select(F.explode(F.array_repeat("body", 2)).alias("body"))
-    path = _written_text(twice, "click-messages")
+    path = _shuffled_text(twice, "click-messages")
     out = working_path(spark, "unique")
-    stream = click_jobs.unique_clicks(click_jobs.click_stream(messages.message_stream(spark, path)))
+    stream = click_jobs.unique_clicks(click_jobs.click_stream(messages.message_stream(spark, path, files_per_batch=2)))
     sinks.start_files(stream, f"{out}/clicks", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/clicks").select(
         F.col("event_id").cast("bigint").alias("event_id"), "action", "duration_ms"
@@ -313,12 +320,11 @@ def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def session_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions that the final watermark (newest click less 24 hours) has closed."""
-    path = _written_text(_click_bodies(spark, d), "click-messages")
-    out = working_path(spark, "sessions")
-    stream = click_jobs.session_stream(click_jobs.click_stream(messages.message_stream(spark, path)), late=LATE)
-    sinks.start_files(stream, f"{out}/sessions", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/sessions").select(
+    """All sessions after the last of several batches out of time order."""
+    path = _shuffled_text(_click_bodies(spark, d), "click-messages")
+    job = click_jobs.ClickJob(spark, working_path(spark, "click-job"))
+    sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
+    return job.sessions().select(
         F.col("session_id").cast("bigint").alias("session_id"),
         F.col("first_seen").cast("timestamp_ntz").alias("first_seen"),
         F.col("last_seen").cast("timestamp_ntz").alias("last_seen"),
@@ -335,7 +341,7 @@ def _stock_job(spark: SparkSession, d: str) -> StockJob:
 def _run_stock(spark: SparkSession, d: str) -> StockJob:
     path = _written_text(_stock_bodies(spark, d), "stock-messages")
     job = StockJob(spark, working_path(spark, "stock-job"))
-    order_jobs.run_now(job.start(stock_stream(messages.message_stream(spark, path))))
+    sinks.run_now(job.start(messages.message_stream(spark, path)))
     return job
 
 
@@ -363,12 +369,12 @@ def stock_alert_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alarm_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Alarms over the windows that the final watermark (newest row less 24 hours) has closed."""
+    """Alarms over all windows after the last batch."""
     source = spark.readStream.schema("event_type string, ts timestamp_ntz, value double").option(
         "pathGlobFilter", "events.parquet"
     ).parquet(d)
     metrics = source.select(F.col("event_type").alias("metric"), "ts", "value")
-    job = AlarmJob(spark, working_path(spark, "alarms"), AlarmRule("backlog", 3600, "max", "gt", 20.0, 3), LATE)
+    job = AlarmJob(spark, working_path(spark, "alarms"), AlarmRule("backlog", 3600, "max", "gt", 20.0, 3))
     job.start(metrics).awaitTermination()
     return job.alarms().select("alarm", "metric", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "stat")
 

@@ -18,8 +18,6 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # Session windows are merged inside each task before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.timefn import parse_ts
 from marketlake.schemas import FRAUD_ALERT
 
 _CORRUPT = "_corrupt_record"
@@ -21,11 +22,14 @@ def message_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.text(path).withColumnRenamed("value", "body")
 
 
-def parse(messages: DataFrame, schema: T.StructType, required: Sequence[str], body: Column | None = None) -> DataFrame:
+def parse(
+    messages: DataFrame, schema: T.StructType, required: Sequence[str], body: Column | None = None, time: str | None = None
+) -> DataFrame:
     """Adds `event` (typed struct) and `problem` (null for a good record).
 
-    Text that is no JSON object, fields of a wrong type and missing required fields are problems
-    of that one record; the others are not touched. Works on batches and streams alike.
+    Text that is no JSON object, fields of a wrong type, missing required fields and a text in the
+    field `time` that is no time are problems of that one record; the others are not touched. Works
+    on batches and streams alike.
     """
     body = F.col("body") if body is None else body
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
@@ -37,6 +41,9 @@ def parse(messages: DataFrame, schema: T.StructType, required: Sequence[str], bo
     problem = F.when(F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull(), "unreadable").when(
         F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ","))
     )
+    if time:
+        no_time = F.col(f"_e.{time}").isNotNull() & parse_ts(F.col(f"_e.{time}")).isNull()
+        problem = F.coalesce(problem, F.when(no_time, F.lit(f"unreadable {time}")))
     event = F.struct(*[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields])
     return parsed.withColumns({"problem": problem, "event": event}).drop("_e")
 

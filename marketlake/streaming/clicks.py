@@ -1,35 +1,45 @@
-"""Click stream: enrichment to hourly folders, deduplication, and sessions."""
+"""Click stream: enrichment to hourly folders, deduplication, live sessions and a quarantine."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
 from marketlake.config import LATE_DATA, SessionRules
 from marketlake.functions.timefn import parse_ts
+from marketlake.operators import sessions
 from marketlake.operators.clean import enrich_clicks
 from marketlake.sources import messages
 from marketlake.streaming import sinks
 
 REQUIRED = ("session_id",)
 HOURLY = ("year", "month", "day", "hour")
+SLOT_SCHEMA = (
+    "session_id string, slot bigint, start bigint, end bigint, n bigint, "
+    "first struct<us: bigint, event_id: string, customer_id: string>, batch_id int"
+)
+
+
+def parsed(bodies: DataFrame) -> DataFrame:
+    return messages.parse(bodies, schemas.CLICK_EVENT, REQUIRED, time="timestamp")
 
 
 def click_stream(bodies: DataFrame) -> DataFrame:
     """Typed clicks from message bodies."""
-    return messages.good(messages.parse(bodies, schemas.CLICK_EVENT, REQUIRED))
+    return messages.good(parsed(bodies))
 
 
 def quarantine_stream(bodies: DataFrame) -> DataFrame:
-    return messages.bad(messages.parse(bodies, schemas.CLICK_EVENT, REQUIRED))
+    """Clicks that cannot be processed, including those whose time cannot be read."""
+    return messages.bad(parsed(bodies))
 
 
 def unique_clicks(clicks: DataFrame, late: str = LATE_DATA) -> DataFrame:
-    """Clicks without redelivered copies; `timestamp` may be text or a timestamp."""
-    timed = clicks.withColumn("ts", parse_ts(F.col("timestamp")).cast("timestamp")).filter(F.col("ts").isNotNull())
-    return timed.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"]).drop("ts")
+    """Clicks without copies that arrive within `late`; a click without event_id is a copy only of an equal one."""
+    key = F.coalesce("event_id", F.concat(F.lit("row:"), F.sha2(F.to_json(F.struct(*clicks.columns)), 256)))
+    return sinks.arrived_once(clicks.withColumn("_key", key), ["_key"], late).drop("_key")
 
 
 def start_enriched(clicks: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -44,30 +54,41 @@ def start_enriched(clicks: DataFrame, path: str, checkpoint: str, available_now:
     return sinks.start_files(enrich_clicks(clicks).withColumns(parts), path, checkpoint, "json", HOURLY, available_now)
 
 
-def session_stream(clicks: DataFrame, rules: SessionRules = SessionRules(), late: str = LATE_DATA) -> DataFrame:
-    """Sessions, emitted once the watermark has passed their end.
+class ClickJob:
+    """Writes enriched clicks, session parts and a quarantine of bad records below one folder.
 
-    Counts and extremes are merged per session inside each task before the shuffle.
+    A batch reduces its clicks to a row per session and slot of time, and sessions are a view over these
+    rows: every session can be read right after its click, late clicks count, and the cut in batches does
+    not matter. A click without time counts at its arrival.
     """
-    timed = clicks.withColumn("ts", parse_ts(F.col("timestamp")).cast("timestamp")).filter(
-        F.col("ts").isNotNull() & F.col("session_id").isNotNull()
-    )
-    first = F.struct("ts", "event_id", "customer_id")
-    return (
-        timed.withWatermark("ts", late)
-        .groupBy("session_id", F.session_window("ts", f"{rules.gap_s} seconds").alias("w"))
-        .agg(
-            F.min("ts").alias("first_seen"),
-            F.max("ts").alias("last_seen"),
-            F.count(F.lit(1)).alias("event_count"),
-            F.min(first).alias("first"),
-        )
-        .select(
-            "session_id",
-            "first_seen",
-            "last_seen",
-            "event_count",
-            (F.unix_timestamp("last_seen") + rules.gap_s).alias("expires_at"),
-            F.coalesce("first.customer_id", F.lit(rules.anonymous)).alias("customer_id"),
-        )
-    )
+
+    def __init__(self, spark: SparkSession, root: str, rules: SessionRules = SessionRules()):
+        self.spark = spark
+        self.root = root
+        self.rules = rules
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def on_batch(self, clicks: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(sessions.session_slots(clicks, self.rules), self.path("session_slots"), batch_id)
+
+    def start(self, bodies: DataFrame, available_now: bool = True) -> list[StreamingQuery]:
+        good = click_stream(bodies)
+        arrival = F.coalesce(parse_ts(F.col("timestamp")).cast("timestamp"), F.current_timestamp())
+        timed = good.withColumn("timestamp", arrival)
+        return [
+            start_enriched(good, self.path("clicks"), self.path("checkpoints/clicks"), available_now),
+            sinks.start(timed, self.on_batch, self.path("checkpoints/sessions"), available_now),
+            sinks.start_files(
+                quarantine_stream(bodies), self.path("quarantine"), self.path("checkpoints/quarantine"), available_now=available_now
+            ),
+        ]
+
+    def sessions(self) -> DataFrame:
+        """Every session up to the last batch."""
+        slots = sinks.read_log(self.spark, self.path("session_slots"), SLOT_SCHEMA)
+        return sessions.merge_slots(sessions.fold_slots(slots), self.rules)
+
+    def quarantine(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("quarantine"))

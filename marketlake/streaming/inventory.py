@@ -15,16 +15,20 @@ from marketlake.streaming import sinks
 REQUIRED = ("product_id", "current_stock")
 
 
+def parsed(bodies: DataFrame) -> DataFrame:
+    return messages.parse(bodies, schemas.INVENTORY_EVENT, REQUIRED, time="timestamp")
+
+
 def stock_stream(bodies: DataFrame) -> DataFrame:
-    return messages.good(messages.parse(bodies, schemas.INVENTORY_EVENT, REQUIRED))
+    return messages.good(parsed(bodies))
 
 
 def quarantine_stream(bodies: DataFrame) -> DataFrame:
-    return messages.bad(messages.parse(bodies, schemas.INVENTORY_EVENT, REQUIRED))
+    return messages.bad(parsed(bodies))
 
 
 class StockJob:
-    """Writes alerts and a change log of one row per product and batch below one folder."""
+    """Writes alerts, a change log of one row per product and batch, and a quarantine of bad records below one folder."""
 
     def __init__(self, spark: SparkSession, root: str, rules: StockRules = StockRules()):
         self.spark = spark
@@ -37,16 +41,23 @@ class StockJob:
     def on_batch(self, events: DataFrame, batch_id: int) -> None:
         sinks.write_batch(inventory.stock_changes(events), self.path("changes"), batch_id)
 
-    def start(self, events: DataFrame, available_now: bool = True) -> list[StreamingQuery]:
+    def start(self, bodies: DataFrame, available_now: bool = True) -> list[StreamingQuery]:
+        events = stock_stream(bodies)
         alerts = inventory.stock_alerts(events, self.rules)
         return [
             sinks.start_files(alerts, self.path("alerts"), self.path("checkpoints/alerts"), available_now=available_now),
             sinks.start(events, self.on_batch, self.path("checkpoints/changes"), available_now),
+            sinks.start_files(
+                quarantine_stream(bodies), self.path("quarantine"), self.path("checkpoints/quarantine"), available_now=available_now
+            ),
         ]
 
     def alerts(self) -> DataFrame:
         return self.spark.read.parquet(self.path("alerts"))
 
+    def quarantine(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("quarantine"))
+
     def stock(self) -> DataFrame:
         """Current stock per product over all batches."""
         changes = self.spark.read.option("basePath", self.path("changes")).parquet(self.path("changes"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,31 +32,33 @@ ALERT_SCHEMA = (
     "order_id string, customer_id string, total double, fraud_score double, fraud_flags array<string>, "
     "timestamp timestamp, batch_id int"
 )
+PEOPLE_SCHEMA = "customer_id string, first timestamp, last timestamp"
 EVENT_SCHEMA = "order_id string, customer_id string, total double, timestamp timestamp, status string, batch_id int"
 
 
+def parsed(bodies: DataFrame) -> DataFrame:
+    return messages.parse(bodies, schemas.ORDER_EVENT, REQUIRED, time="created_at")
+
+
 def scored_stream(bodies: DataFrame, rules: FraudRules = FraudRules(), late: str = LATE_DATA) -> DataFrame:
-    """Good, deduplicated, scored orders. Copies of an order within the late-data limit are dropped."""
-    parsed = messages.good(messages.parse(bodies, schemas.ORDER_EVENT, REQUIRED))
-    timed = parsed.withColumn("ts", parse_ts(F.col("created_at")).cast("timestamp")).filter(F.col("ts").isNotNull())
-    unique = timed.withWatermark("ts", late).dropDuplicatesWithinWatermark(["order_id"])
-    return fraud.score_orders(unique, rules)
+    """Good, deduplicated, scored orders. Copies of an order that arrive within the late-data limit are dropped."""
+    timed = messages.good(parsed(bodies)).withColumn("ts", parse_ts(F.col("created_at")).cast("timestamp"))
+    return fraud.score_orders(sinks.arrived_once(timed, ["order_id"], late), rules)
 
 
 def quarantine_stream(bodies: DataFrame) -> DataFrame:
     """Records that cannot be processed, including those whose time cannot be read."""
-    parsed = messages.parse(bodies, schemas.ORDER_EVENT, REQUIRED)
-    no_time = parse_ts(F.col("event.created_at")).isNull()
-    problem = F.coalesce("problem", F.when(no_time, F.lit("unreadable created_at")))
-    return messages.bad(parsed.withColumn("problem", problem))
+    return messages.bad(parsed(bodies))
 
 
 class OrderJob:
     """Writes order log, alerts, order events and decisions below one folder.
 
     One micro-batch: the scored orders are written to the log; alerts and events are read back
-    from there; flagged orders are checked against the log, which already holds them. History is
-    limited by partition to the days the windows can reach, and to the customers flagged.
+    from there; flagged orders are checked against the log, which already holds them. An order that
+    arrives after later ones of its customer may change their decisions: flagged orders whose windows
+    it falls into are decided again, so the decisions do not depend on how the input is cut in batches.
+    Only the time parts of the log that the windows can reach are listed and read.
     """
 
     def __init__(
@@ -67,35 +69,47 @@ class OrderJob:
         self.root = root
         self.velocity = velocity
         self.log_by = log_by
+        self.reach = dt.timedelta(seconds=max(velocity.order_window_s, velocity.spend_window_s))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def log_day(self, day: Column) -> Column:
-        return F.to_date(F.date_trunc(self.log_by, day))
+    def near(self, days: list[dt.date]) -> set[dt.date]:
+        """The log's parts within the windows' reach of these parts."""
+        reach = -(-self.reach // dt.timedelta(days=1))
+        width = 31 if self.log_by == "month" else 1
+        around = {d + dt.timedelta(days=k) for d in days for k in range(-reach, width + reach)}
+        return {d.replace(day=1) if self.log_by == "month" else d for d in around}
 
     def on_batch(self, scored: DataFrame, batch_id: int) -> None:
-        stamped = scored.withColumns({"processed_at": F.current_timestamp(), "log_day": self.log_day(F.col("ts"))})
-        sinks.write_batch(stamped.hint("rebalance", "log_day"), self.path("order_log"), batch_id, by="log_day")
-        log = sinks.read_log(self.spark, self.path("order_log"), LOG_SCHEMA, upto=batch_id)
-        mine = log.filter(F.col("batch_id") == batch_id)
+        stamped = scored.withColumn("processed_at", F.current_timestamp())
+        path = self.path("order_log")
+        sinks.write_parts(stamped, path, batch_id, F.to_date(F.date_trunc(self.log_by, F.col("ts"))))
+        days = sinks.parts_of(self.spark, path, batch_id)
+        mine = sinks.read_parts(self.spark, path, LOG_SCHEMA, days, batch_id)
         alerts = fraud.fraud_alerts(mine, F.col("processed_at"))
         sinks.write_batch(alerts, self.path("fraud_alerts"), batch_id)
         sinks.write_batch(fraud.order_events(mine, F.col("processed_at")), self.path("order_events"), batch_id, by="status")
-        self.review(log, mine.filter("is_fraud"), batch_id)
-
-    def review(self, log: DataFrame, flagged: DataFrame, batch_id: int) -> None:
-        first = flagged.agg(F.min("ts")).first()[0]
-        history = log.select("customer_id", "ts", "total", "log_day")
-        if first is not None:
-            reach = dt.timedelta(seconds=max(self.velocity.order_window_s, self.velocity.spend_window_s))
-            start = F.lit(first - reach)
-            history = history.filter((F.col("log_day") >= self.log_day(start)) & (F.col("ts") >= start))
-        people = flagged.select("customer_id").distinct()
-        recent = history.join(people, "customer_id", "left_semi").withColumnRenamed("ts", "created_at")
-        targets = flagged.select(
+        self.review(mine, days, batch_id)
+
+    def review(self, mine: DataFrame, days: list[dt.date], batch_id: int) -> None:
+        log = sinks.read_parts(self.spark, self.path("order_log"), LOG_SCHEMA, self.near(days))
+        log = log.filter(F.col("batch_id") <= batch_id)
+        # Stored first: a join to an aggregate on its own key cannot be split where a customer is hot.
+        people = mine.groupBy("customer_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+        stored = self.spark.read.schema(PEOPLE_SCHEMA).parquet(
+            sinks.write_batch(people, self.path("batch_customers"), batch_id)
+        )
+        reach = F.lit(self.reach)
+        touched = log.filter("is_fraud").join(stored, "customer_id")
+        touched = touched.filter((F.col("ts") >= F.col("first")) & (F.col("ts") <= F.col("last") + reach))
+        targets = touched.select(
             "order_id", "customer_id", "total", "fraud_score", "fraud_flags", F.col("ts").alias("created_at")
         )
+        around = log.select("customer_id", "ts", "total").join(stored, "customer_id").filter(
+            (F.col("ts") >= F.col("first") - reach) & (F.col("ts") <= F.col("last") + reach)
+        )
+        recent = around.select("customer_id", F.col("ts").alias("created_at"), "total")
         decided = fraud.decide(targets, recent, self.velocity)
         rows = decided.select(
             "order_id",
@@ -126,14 +140,10 @@ class OrderJob:
         return sinks.read_log(self.spark, self.path("order_events"), EVENT_SCHEMA)
 
     def decisions(self) -> DataFrame:
-        return sinks.read_log(self.spark, self.path("fraud_decisions"), DECISION_SCHEMA)
+        """The last decision on every flagged order."""
+        return latest(sinks.read_log(self.spark, self.path("fraud_decisions"), DECISION_SCHEMA), ["order_id"], "batch_id")
 
     def orders(self) -> DataFrame:
         """The last stored version of every order."""
         return latest(self.order_log(), ["order_id", "customer_id"], "batch_id")
 
-
-def run_now(queries: list[StreamingQuery]) -> None:
-    """Wait until all available input is processed."""
-    for query in queries:
-        query.awaitTermination()

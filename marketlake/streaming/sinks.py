@@ -1,17 +1,21 @@
 """Idempotent outputs of micro-batches.
 
-Every batch owns the folder of its id and overwrites it, so a batch that is run again after a
-failure leaves the same rows.
+Every batch owns the folders of its id and overwrites them, so a batch that is run again after a
+failure leaves the same rows. A log that is read by time has its time parts outermost: a batch then
+lists only the parts it asks for, however many batches went before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 LOG = "batch_id"
+DAY = "log_day"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, by: str | None = None) -> str:
@@ -23,10 +27,46 @@ def write_batch(df: DataFrame, path: str, batch_id: int, by: str | None = None)
     return folder
 
 
-def read_log(spark: SparkSession, path: str, schema: str, upto: int | None = None) -> DataFrame:
-    """The rows of all batches, or of those up to one batch, with their batch_id."""
-    log = spark.read.schema(schema).option("basePath", path).parquet(path)
-    return log if upto is None else log.filter(f"{LOG} <= {upto}")
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all batches with their batch_id."""
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def write_parts(df: DataFrame, path: str, batch_id: int, day: Column) -> None:
+    """Rows of one batch below log_day= / batch_id=; the same batch written again replaces its own folders."""
+    parts = df.withColumns({DAY: day, LOG: F.lit(batch_id)}).hint("rebalance", DAY)
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, LOG).parquet(path)
+
+
+def parts_of(spark: SparkSession, path: str, batch_id: int) -> list[dt.date]:
+    """The log days that a batch has written, from folder names alone."""
+    found = _matching(spark, f"{path}/{DAY}=*/{LOG}={batch_id}")
+    return sorted(dt.date.fromisoformat(p.split(f"{DAY}=")[1][:10]) for p in found)
+
+
+def read_parts(spark: SparkSession, path: str, schema: str, days: Iterable[dt.date], batch_id: int | None = None) -> DataFrame:
+    """The rows of some log days, of all batches or of one. Other days are neither listed nor read."""
+    tail = "" if batch_id is None else f"/{LOG}={batch_id}"
+    found = _matching(spark, f"{path}/{DAY}={{{','.join(sorted(d.isoformat() for d in days))}}}{tail}")
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
+
+
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
+def arrived_once(stream: DataFrame, keys: list[str], within: str) -> DataFrame:
+    """Drops copies that arrive within a time of each other.
+
+    The watermark follows the time of arrival, so no time inside a record, however late or far in
+    the future, makes another record late. Rows are never dropped as late.
+    """
+    stamped = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return stamped.dropDuplicatesWithinWatermark(keys).drop("_arrived")
 
 
 def start(
@@ -51,3 +91,9 @@ def start_files(
     if partitions:
         writer = writer.partitionBy(*partitions)
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
+def run_now(queries: list[StreamingQuery]) -> None:
+    """Wait until all available input is processed."""
+    for query in queries:
+        query.awaitTermination()
