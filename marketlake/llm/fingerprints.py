@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import stored
+
 K = 9
 S = 2
 ROWS = 2_000
@@ -85,7 +87,8 @@ def with_next(docs: DataFrame, rows: int = ROWS) -> DataFrame:
         F.coalesce(F.lag("block").over(around), F.max("block").over(Window.partitionBy())).alias("to"),
         F.col("block"), F.col("first.doc_id").alias("first_id"), F.col("first.own").alias("first_own"),
     )
-    copies = source.join(ahead, "block").where("doc_id <=> first_id and own = first_own")
+    # Written first, so that its size is known when the join is planned: texts need not move to meet a few ids.
+    copies = source.join(stored(ahead, "fingerprint-ranges"), "block").where("doc_id <=> first_id and own = first_own")
     copies = copies.select("doc_id", "text", "own", F.col("to").alias("block"), F.lit(True).alias("copy"))
     every = with_anchors(source.withColumn("copy", F.lit(False)).unionByName(copies), "text", "places", "marks")
     order = Window.partitionBy("block").orderBy("copy", F.col("doc_id").asc_nulls_first(), "own")
