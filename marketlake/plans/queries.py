@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,9 @@ def _ntz(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if d == "timestamp" else F.col(c) for c, d in df.dtypes])
 
 
-def _last_day(df: DataFrame, column: str):
-    return df.agg(F.max(column)).scalar()
+def _last_day(df: DataFrame, column: str) -> dt.date | None:
+    """One value, read when the report is built: only a literal reaches the scan and prunes partitions."""
+    return df.agg(F.max(column)).first()[0]
 
 
 # ---- cleaning and projections -------------------------------------------------------------

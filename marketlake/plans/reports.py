@@ -15,7 +15,7 @@ from marketlake.functions.numeric import count_when, exact_avg, exact_sum, ratio
 from marketlake.functions.timefn import hour_label, month_of, months_apart, parse_ts
 from marketlake.operators.clean import confirmed, confirmed_with_state
 
-Day = Column | dt.date | str
+Day = Column | dt.date | str | None
 
 
 def _day(as_of: Day) -> Column:

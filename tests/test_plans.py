@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import clean
+from marketlake.plans import reports
 from marketlake.plans.lake_queries import QUERIES as LAKE_QUERIES
 from marketlake.plans.queries import QUERIES
 from marketlake.sources import tables as t
@@ -41,6 +42,26 @@ def test_reports_read_only_their_columns(spark, tables):
     assert "o_totalprice" not in text and "o_orderpriority" not in text
 
 
+@pytest.mark.parametrize(
+    "name,column",
+    [("p7_recent_orders", "o_orderdate"), ("q1_daily_revenue", "o_orderdate"), ("q2_o2_top_products", "o_orderdate"),
+     ("q9_click_funnel", "ts"), ("q10_hourly_orders", "o_orderdate")],
+)
+def test_report_dates_reach_the_scan(spark, tables, name, column):
+    text = plan(QUERIES[name](spark, tables))
+    assert f"GreaterThanOrEqual({column}," in text and "Subquery" not in text
+
+
+def test_report_dates_prune_partitions(spark, tables, tmp_path):
+    """Over a table stored by day, a report lists only the days it needs."""
+    orders = t.orders(spark, tables)
+    orders.write.partitionBy("order_date").parquet(str(tmp_path / "orders"))
+    last = orders.agg(F.max("order_date")).first()[0]
+    hourly = reports.hourly_orders(spark.read.parquet(str(tmp_path / "orders")), last)
+    assert "PartitionFilters: [isnotnull(order_date" in plan(hourly) and "Subquery" not in plan(hourly)
+    assert [*hourly.collect()] == [*reports.hourly_orders(orders, last).collect()]
+
+
 def test_nested_fields_are_pruned(spark, tables, tmp_path):
     t.nested_orders(spark, tables).write.parquet(str(tmp_path / "nested"))
     items = clean.explode_items(spark.read.parquet(str(tmp_path / "nested"))).select("product_id")
