@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from marketlake.functions.vectors import norm
 
 _ROWS_AT_ONCE = 256
+#: Copies of a product's metadata: a popular product stands in many users' lists.
+SALTS = 16
 
 
 def _block_scorer(k: int, item_columns: Sequence[str], with_seen: bool) -> Callable:
@@ -69,8 +71,8 @@ def top_scores(
     """Each user's k best items by dot product, with rank; ties go to the smaller product_id.
 
     `users` is (customer_id, factors), `items` (product_id, factors). `metadata` has one row per
-    product_id; it is joined to the items, once each, and not to the candidates of every user,
-    where a popular product would repeat as a hot join key.
+    product_id; it is joined to the k best alone, so blocks and candidates carry ids and scores
+    only. That join is salted by user, as a popular product is a hot key there.
     With `seen` (customer_id, product_id) those pairs are left out before the cut, inside each
     block, so heavy buyers still get k items. Seen lists are per (user, item block) and hence
     no longer than a block.
@@ -96,8 +98,6 @@ def top_scores(
             .agg(F.collect_list("product_id").alias("seen"))
         )
         left = left.join(lists, ["customer_id", "ib"], "left")
-    if metadata is not None:
-        items = items.join(metadata, "product_id", "left")
     carried = [c for c in items.columns if c != "factors"]
     right = items.select("*", block("product_id", item_blocks).alias("ib"), every(user_blocks).alias("ub"))
 
@@ -111,7 +111,13 @@ def top_scores(
         .applyInPandas(_block_scorer(k, carried, seen is not None), schema)
     )
     best = Window.partitionBy("customer_id").orderBy(F.desc("score"), "product_id")
-    return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    top = partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    if metadata is None:
+        return top
+    more = [c for c in metadata.columns if c != "product_id"]
+    copies = metadata.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = top.withColumn("_salt", F.pmod(F.xxhash64("customer_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, ["product_id", "_salt"], "left").select("customer_id", *carried, *more, "score", "rank")
 
 
 def popular_items(items: DataFrame, k: int) -> DataFrame:
