@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-1. Word 4-grams of the test items (an item with fewer words gives its whole sequence, looked for at its own
-   width) are counted in all documents; of each item's grams that occur, the rarer half are its seeds. The
-   choice is relative to the item, so an item that many documents copy keeps its seeds.
+1. Word 4-grams of a test item are its seeds (an item with fewer words gives its whole sequence, looked for
+   at its own width). Every gram of an item is one, however often it occurs: an edited copy keeps whichever
+   grams its edits leave, and beside a full copy those are the more frequent ones.
 2. Each seed hit in a document fixes a diagonal. Around the diagonals of an item (its length and a margin on
    both sides, overlapping ranges united) a local alignment of words scores match 2, mismatch -1, gap -1, so
-   edited and reordered copies still score high.
+   edited and reordered copies still score high. A range with too few words of the item to reach the score
+   with all of them matched is not aligned.
 3. A document is contaminated by an item if the best alignment reaches `least` of the item's score with itself.
 
 Documents stay where they are: items travel, in blocks of a fixed size in bytes, one pass over the documents
@@ -55,19 +56,6 @@ class Items:
         """Gram widths to look for in documents."""
         return sorted({min(len(w), GRAM) for w in self.words} - {0})
 
-    def rare(self, counts: dict[int, int]) -> Items:
-        """Of the grams of each item that occur in the corpus, those whose count is at most the median."""
-        count = np.array([counts.get(int(g), 0) for g in self.grams.view(np.int64)])
-        keep = np.zeros(len(count), bool)
-        order = np.lexsort((count, self.item))
-        cut = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            if hi > lo:
-                own = order[lo:hi]
-                own = own[count[own] > 0]
-                keep[own[count[own] <= count[own[len(own) // 2 : len(own) // 2 + 1]].max(initial=0)]] = True
-        return Items(self.ids, self.words, self.grams[keep], self.item[keep], self.place[keep])
-
 
 def _grams(word: np.ndarray, doc: np.ndarray, n: int, width: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text and place (in words of all texts) of each gram."""
@@ -121,18 +109,6 @@ def _hits(part: pa.Table, hashes: np.ndarray, widths: list[int]):
     return word, doc, *map(np.concatenate, zip(*found, strict=True))
 
 
-def _counted(hashes: np.ndarray, widths: list[int]):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(hashes), np.int64)
-        for part in chunks(batches, STEP):
-            gram = _hits(part, hashes, widths)[2]
-            total += np.bincount(np.searchsorted(hashes, gram), minlength=len(hashes))
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(hashes[some].view(np.int64)), pa.array(total[some])], ["gram", "n"])
-
-    return count
-
-
 def _aligned(items: Items, least: float):
     hashes, widths = items.hashes, items.widths
 
@@ -149,20 +125,22 @@ def _aligned(items: Items, least: float):
             margin = length // 4 + 4
             first, last = diagonal - margin, diagonal + length + margin
             order = np.lexsort((first, item, of))
+            of, item, first, last = of[order], item[order], first[order], last[order]
+            # an item's ranges have one length, so the one before ends last
+            new = np.ones(len(order), bool)
+            new[1:] = (of[1:] != of[:-1]) | (item[1:] != item[:-1]) | (first[1:] > last[:-1])
+            at = np.flatnonzero(new)
+            of, item, first, last = of[at], item[at], first[at], last[np.append(at[1:], len(order))[: len(at)] - 1]
+            first, last = np.maximum(first, begins[of]), np.minimum(last, begins[of + 1])
             ids = np.asarray(part["doc_id"].combine_chunks())
             valid = np.asarray(part["doc_id"].combine_chunks().is_valid())
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            k = 0
-            while k < len(order):
-                d, i = of[order[k]], item[order[k]]
-                begin, stop = first[order[k]], last[order[k]]
-                k += 1
-                while k < len(order) and of[order[k]] == d and item[order[k]] == i and first[order[k]] <= stop:
-                    stop = max(stop, last[order[k]])
-                    k += 1
-                begin, stop = max(begin, begins[d]), min(stop, begins[d + 1])
-                own = items.words[i]
-                score, end = align(own, word[begin:stop])
+            for d, i, begin, stop in zip(of.tolist(), item.tolist(), first.tolist(), last.tolist(), strict=True):
+                own, passage = items.words[i], word[begin:stop]
+                # no alignment scores more than all words of the passage that the item has
+                if MATCH * np.isin(passage, own).sum() < least * MATCH * len(own):
+                    continue
+                score, end = align(own, passage)
                 if score >= least * MATCH * len(own) and score > best.get((d, i), (0,))[0]:
                     best[d, i] = (score, begin - begins[d], begin - begins[d] + end)
             if best:
@@ -193,11 +171,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, bl
         known = items_of([tuple(r) for r in rows])
         if not len(known.grams):
             continue
-        counted = source.mapInArrow(_counted(known.hashes, known.widths), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        seeds = known.rare({r.gram: r.n for r in counted.collect()})
-        if not len(seeds.grams):
-            continue
-        out = out.union(source.mapInArrow(_aligned(seeds, least), schema))
+        out = out.union(source.mapInArrow(_aligned(known, least), schema))
     return out
 
 

@@ -107,6 +107,22 @@ def test_copies_are_found_and_others_left(spark, rows):
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_edited_copy_beside_a_full_copy(spark, rows):
+    """The grams an edited copy keeps are the frequent ones of the item; they are seeds all the same."""
+    rng = random.Random(11)
+    item = [f"w{i}" for i in range(60)]
+    every = lambda n: [f"e{k}" if k % n == n - 1 else w for k, w in enumerate(item)]
+    noise = lambda: [f"n{rng.randrange(500)}" for _ in range(40)]
+    copies = [item, every(7), every(6), every(5)]
+    for n in range(2, 5):
+        docs = [(i, " ".join([*noise(), *c, *noise()]), "", "") for i, c in enumerate([item, every(n + 3), noise()])]
+        df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+        assert rows(decontamination.contaminated(df, bench), "doc_id") == [(0,), (1,)]
+    docs = [(i, " ".join([*noise(), *c, *noise()]), "", "") for i, c in enumerate(copies)]
+    found = {r.doc_id: r.score for r in decontamination.contaminated(spark.createDataFrame(docs, DOCS), bench).collect()}
+    assert found == pytest.approx({0: 1.0, 1: 96 / 120, 2: 90 / 120, 3: 85 / 120}, abs=0.02)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_bounds_are_optimal(seed):
     rng = random.Random(seed)
