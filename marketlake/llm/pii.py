@@ -2,7 +2,8 @@
 
 Base kinds (email, ip, card, phone) follow fixed patterns and tests and are always reported. Three more kinds
 are proposed and kept if their score reaches `least`: iban (mod-97 confirms it), ssn and local_phone (digits
-in the usual grouping, confirmed by nearby words only). A score starts at the kind's prior, a passed checksum
+in the usual grouping, confirmed by nearby words only). Where capitals or digits follow an iban, the longest run of whole groups that the checksum
+confirms is taken, and the search goes on behind it. A score starts at the kind's prior, a passed checksum
 and each near context word raise it, up to 1. Proposals that overlap a base span are left out.
 
 A null text is empty and has no spans; offsets are code points, the end exclusive. Each row is treated on its
@@ -47,6 +48,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Fewest characters of an iban without its spaces.
+SHORTEST = 15
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -62,6 +65,21 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """From each place that can begin one, the longest run of whole groups that passes mod-97."""
+    found, at = [], 0
+    while m := IBAN.search(text, at):
+        start, end = m.span()
+        at = start + 4
+        while end > start and len(iban := text[start:end].replace(" ", "")) >= SHORTEST:
+            if mod97(iban):
+                found.append((start, end))
+                at = end
+                break
+            end = text.rfind(" ", start, end)
+    return found
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches, found from each @ backwards: long runs of letters cost nothing."""
     found, done, at = [], 0, text.find("@")
@@ -107,15 +125,12 @@ def all_spans(text: str, least: float) -> list[tuple[str, int, int, float]]:
     taken = sorted((s, e) for _, s, e in base)
     if not DIGIT.search(text):
         return out
-    for kind, pattern in zip(ADDED, (IBAN, SSN, LOCAL_PHONE), strict=True):
-        for m in pattern.finditer(text):
-            start, end = m.span()
-            confirmed = kind == "iban" and 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0].replace(" ", ""))
-            if kind == "iban" and not confirmed:
-                continue
-            score = _score(text, kind, start, end, confirmed)
-            if score >= least and not any(s < end and start < e for s, e in taken):
-                out.append((kind, start, end, score))
+    proposed = [("iban", *s) for s in ibans(text)]
+    proposed += [(kind, *m.span()) for kind, pattern in zip(ADDED[1:], (SSN, LOCAL_PHONE), strict=True) for m in pattern.finditer(text)]
+    for kind, start, end in proposed:
+        score = _score(text, kind, start, end, kind == "iban")
+        if score >= least and not any(s < end and start < e for s, e in taken):
+            out.append((kind, start, end, score))
     return out
 
 

@@ -60,6 +60,25 @@ def test_pii_query(spark, rows):
     assert pii.find(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]),
+        ("iban GB82WEST12345698765432 2024", ["GB82WEST12345698765432"]),
+        ("IBAN DE89370400440532013000 IBAN GB82WEST12345698765432", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+        ("DE89370400440532013000 GB82 WEST 1234 5698 7654 32", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+        ("AB12 CDEF GHIJ DE89 3704 0044 0532 0130 00 Bank", ["DE89 3704 0044 0532 0130 00"]),
+        ("NO93 8601 1117 947 KONTO 12 UND NOCH MEHR WORTE 2024", ["NO93 8601 1117 947"]),
+        ("DE88370400440532013000 BIC COBADEFF AND MORE", []),
+        ("DE89370400440532013000X", []),
+    ],
+)
+def test_ibans_before_capitals_and_digits(text, want):
+    found = [text[s:e] for kind, s, e, _ in pii.all_spans(text, 0.6) if kind == "iban"]
+    assert found == want
+    assert not any(w in pii.redacted(text, pii.all_spans(text, 0.6)) for w in want)
+
+
 def test_quality_on_the_held_out_fold(spark, tables):
     docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
