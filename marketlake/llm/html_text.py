@@ -8,6 +8,11 @@ Second pass: an open block inherits the label of the nearest decided neighbours
 in one): the one both sides agree on, else the nearer side's; with none to ask it is good in an article only.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by an empty line.
+A main element lifts what class names of the elements around it say; an article does so too, but in comments,
+related items and the like, and where the whole name says it ("sidebar"), only if the page has no other article.
+Names of layouts ("has-sidebar", "content-sidebar-wrap", "elementor-widget") say nothing. An open head ends at the
+body, or at the first element that cannot stand in a head.
+
 Nothing is capped. A null or empty page, or one without text, gives an empty text. Broken markup is read as far
 as it goes: an unclosed comment, script or tag at the end hides the rest. Repeated pages give repeated rows.
 Columns other than page_id, url and html are ignored.
@@ -50,6 +55,18 @@ NAMES = re.compile(
     r"newsletter|subscribe|signup|login|popup|modal|pagination|pager|tags|toolbar|widget)(?:$|[\s_-])",
     re.I,
 )
+#: Class names of wrappers of whole pages: a part of them names what stands beside the text.
+LAYOUT = re.compile(
+    r"(?:has|with|without|no)[_-].*|(?:content|main|page)[_-].*[_-](?:wrap|wrapper|container|inner)|"
+    r"elementor[_-]widget(?:[_-](?:wrap|container|text-editor|theme-post-content|heading|image))?",
+    re.I,
+)
+#: Class names of elements that hold articles other than the page's own.
+OTHERS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|reply|replies|related|recommended|ads?|advert\w*|sponsor\w*|promo\w*)(?:$|[\s_-])", re.I)
+#: What makes an element furniture: part of a class name, a whole one, its tag.
+PART, WHOLE, TAG = 1, 2, 3
+#: Elements that may stand in a head.
+IN_HEAD = frozenset("html head title script style base link meta noscript template".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 CLASS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 WORD = re.compile(r"\w+")
@@ -61,18 +78,35 @@ LINKS = 0.5
 GOOD, BAD, OPEN = 1, 0, None
 
 
-def blocks(page: str) -> Iterator[tuple[str, float, bool, int]]:
-    """Text, share of it in links, whether it stands in furniture, and its article's number (0: none)."""
-    stack: list[tuple[str, bool, int]] = []
+def named(names: list[str]) -> int:
+    """What class names say of an element: nothing, PART or WHOLE."""
+    kinds = [WHOLE if m[0] == name or OTHERS.search(name) else PART for name in names if not LAYOUT.fullmatch(name) and (m := NAMES.search(name))]
+    return max(kinds, default=0)
+
+
+def furniture(stack: list[tuple[str, int, int]]) -> int:
+    """2: in furniture; 1: in an article that counts only if the page has no other; 0: neither."""
+    kind = doubt = 0
+    for name, own, article in stack:
+        kind = max(kind, own)
+        if article and kind < TAG:
+            doubt = max(doubt, kind == WHOLE and name != "main")
+            kind = 0
+    return 2 if kind else int(doubt)
+
+
+def blocks(page: str) -> Iterator[tuple[str, float, int, int]]:
+    """Text, share of it in links, `furniture`, and its article's number (0: none)."""
+    stack: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = links = articles = 0
     at, end = 0, len(page)
 
-    def flush() -> Iterator[tuple[str, float, bool, int]]:
+    def flush() -> Iterator[tuple[str, float, int, int]]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            yield text, min(1.0, linked / len(text)), any(s[1] for s in stack), next((s[2] for s in reversed(stack) if s[2]), 0)
+            yield text, min(1.0, linked / len(text)), furniture(stack), next((s[2] for s in reversed(stack) if s[2]), 0)
         parts.clear()
         linked = 0
 
@@ -94,6 +128,10 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, int]]:
         name = (m[2] or "").lower()
         if not name:
             continue
+        opened = next((k for k, s in enumerate(stack) if s[0] == "head"), None) if not m[1] else None
+        if opened is not None and (name == "body" or opened == len(stack) - 1 and name not in IN_HEAD):
+            yield from flush()
+            del stack[opened:]
         if name in HIDDEN and not m[1]:
             yield from flush()
             close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -112,12 +150,12 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, int]]:
                     del stack[k:]
                     break
         elif name not in VOID and name != "p" and (name in BLOCK or name in FURNITURE or name in HIDDEN) and not m[3].endswith("/"):
-            named = " ".join(a or b or c for a, b, c in CLASS.findall(m[3]))
+            names = " ".join(a or b or c for a, b, c in CLASS.findall(m[3])).split()
             article = 0
             if name in ARTICLE:
                 articles += 1
                 article = articles
-            bad = name in FURNITURE or name in HIDDEN or (bool(NAMES.search(named)) and name not in ("body", "html", "article", "main"))
+            bad = TAG if name in FURNITURE or name in HIDDEN else 0 if name in ("body", "html", "article", "main") else named(names)
             stack.append((name, bad, article))
             links = 0
     yield from flush()
@@ -125,9 +163,11 @@ def blocks(page: str) -> Iterator[tuple[str, float, bool, int]]:
 
 def main_text(page: str | None) -> str:
     found = list(blocks(page or ""))
+    most = 0 if any(f[3] and not f[2] for f in found) else 1
+    found = [(text, linked, kind > most, article) for text, linked, kind, article in found]
     labels: list[int | None] = []
-    for text, linked, furniture, article in found:
-        if furniture or linked > LINKS:
+    for text, linked, bad, article in found:
+        if bad or linked > LINKS:
             labels.append(BAD)
         elif len(text) < LONG:
             labels.append(OPEN)

@@ -31,6 +31,32 @@ def test_main_text():
     assert html_text.main_text("<article>" + "<p>" + "word " * 50_000 + "</article>").count("word") == 50_000
 
 
+LINE = "This is the text of the page and it is what all of it is about, as you can see in it."
+ASIDE = "This is one of the things beside the text, and it is as long as a block of it would be."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body><div class='content-sidebar-wrap'><main><p>{LINE}</main><div class='sidebar'><p>{ASIDE}</div></div>", LINE),
+        (f"<body><div class='has-sidebar'><article><p>{LINE}</article></div>", LINE),
+        (f"<body><div class='elementor-widget elementor-widget-container'><article><p>{LINE}</article></div>", LINE),
+        (f"<body><div class='post-header-area'><article><p>{LINE}</article></div>", LINE),
+        (f"<body><div class='sidebar'><article><p>{LINE}</article></div>", LINE),
+        (f"<body><div class='has-sidebar'><div><p>{LINE}</div></div>", LINE),
+        (f"<body><article><p>{LINE}</article><div class='comment-list'><article><p>{ASIDE}</article></div>", LINE),
+        (f"<body><article><p>{LINE}</article><div class='sidebar'><article><p>{ASIDE}</article></div>", LINE),
+        (f"<body><aside><article><p>{ASIDE}</article></aside><p>{LINE}", LINE),
+        (f"<body><article><p>{LINE}<div class='cookie-notice'><p>{ASIDE}</div></article>", LINE),
+        (f"<html><head><title>T</title><body><p>{LINE}</body></html>", LINE),
+        (f"<html><head><title>T</title><meta charset=a><p>{LINE}", LINE),
+        (f"<head><noscript><p>{ASIDE}</noscript></head><body><p>{LINE}", LINE),
+    ],
+)
+def test_wrappers_and_open_heads(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_extract_rows(spark, rows):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", None, "x"), (None, None, "", "x")], "page_id long, url string, html string, text string")
     assert sorted(r[3] for r in rows(html_text.extract(df))) == [0, 0, len(html_text.main_text(PAGE))]
