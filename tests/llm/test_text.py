@@ -165,3 +165,29 @@ def test_model_is_a_distribution_and_learns(spark):
     assert chance == pytest.approx(1)
     spelled = lm_scoring.Spelling(np.frombuffer(b"the xqz ", np.uint8)).spelled(mixer)
     assert spelled[0] > spelled[1] + 1
+
+
+def test_mixer_learns_in_small_steps():
+    """Few letters are enough to move all weights, and predictions are not held within 0.25 .. 0.75."""
+    import numpy as np
+
+    text = np.frombuffer(b"the cat sat on that mat then ran home " * 60, np.uint8)
+    s, mixer = lm_scoring.Spelling(text), lm_scoring.Mixer()
+    mixer.learn(s.letters, s.place, s.contexts, np.ones(len(s.letters)))
+    assert (mixer.weights != lm_scoring.Mixer().weights).any(axis=2).all()
+    seen = lm_scoring.Spelling(text).spelled(mixer)[:9]
+    # one word of nine is log10(1 / 9) = -0.95
+    assert seen.mean() > -1.3
+    plain = lm_scoring.Mixer()
+    for k in range(len(s.letters)):
+        plain.learn(s.letters[k : k + 1], s.place[k : k + 1], s.contexts[:, k : k + 1], np.ones(1))
+    assert seen.mean() == pytest.approx(lm_scoring.Spelling(text).spelled(plain)[:9].mean(), abs=0.1)
+
+
+def test_turns_hold_all_occurrences():
+    import numpy as np
+
+    counts = np.array([0, 1, 2, 7, 1000])
+    word, times = lm_scoring.turns(counts, np.arange(5, dtype=np.uint64))
+    assert np.bincount(word, times, 5).tolist() == counts.tolist()
+    assert times[word == 3].tolist() == [1, 1, 2, 3]
