@@ -191,3 +191,35 @@ def test_turns_hold_all_occurrences():
     word, times = lm_scoring.turns(counts, np.arange(5, dtype=np.uint64))
     assert np.bincount(word, times, 5).tolist() == counts.tolist()
     assert times[word == 3].tolist() == [1, 1, 2, 3]
+
+
+def test_cost_without_a_words_own_counts():
+    """Leaving a word out gives what the tables give that never counted it once."""
+    import numpy as np
+
+    s = lm_scoring.Spelling(np.frombuffer(b"the aaaaaa that banana ", np.uint8))
+    for left in range(4):
+        every, less = lm_scoring.Mixer(), lm_scoring.Mixer()
+        times = np.full(len(s.letters), 3.0)
+        every.learn(s.letters, s.place, s.contexts, times)
+        less.learn(s.letters, s.place, s.contexts, np.where(s.word == left, 2.0, 3.0))
+        less.weights, less.map, less.seen = every.weights, every.map, every.seen
+        got = every.cost(s.letters, s.place, s.contexts, s.word)[s.word == left]
+        assert got == pytest.approx(less.cost(s.letters, s.place, s.contexts)[s.word == left], abs=1e-4)
+
+
+def test_last_gate_hears_all_words(spark):
+    """Every training word has its part in the likelihood by which the gate is chosen."""
+    import numpy as np
+    import pyarrow as pa
+
+    words = [f"w{k}" for k in range(40)]
+    letters = np.frombuffer("".join(w + " " for w in words).encode(), np.uint8)
+
+    def gates(counts):
+        payload = lm_scoring._packed((letters, np.array(counts)), lm_scoring.WORD_KINDS)
+        group = pa.table([pa.array([1]), pa.array([0], pa.int32()), pa.array([payload], pa.binary())], names=["chunk", "bucket", "words"])
+        return lm_scoring._answered(lm_scoring.Mixer().packed(), 1000.0)(group)["gates"][0].as_py()
+
+    base = gates([2] * 40)
+    assert all(gates([2 + (j == k) for j in range(40)]) != base for k in range(40))
