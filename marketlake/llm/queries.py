@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
-from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, url_filters
+from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, token_counts, url_filters
 from marketlake.llm.common import table
 from marketlake.llm.ngram_jaccard import near_duplicates
 from marketlake.llm.suffix_dedup import remove_repeats
@@ -73,6 +75,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
+    "op12_token_counts": op12_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
