@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, token_counts, url_filters
+from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, token_counts, url_filters, whitening
 from marketlake.llm.common import table
 from marketlake.llm.ngram_jaccard import near_duplicates
 from marketlake.llm.suffix_dedup import remove_repeats
@@ -80,6 +80,10 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer)
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
     "op12_token_counts": op12_token_counts,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
