@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, token_counts, url_filters, whitening
+from marketlake.llm import decontamination, fingerprints, html_text, lm_scoring, packing, pii, quality, spelling_variants, token_counts, url_filters, whitening
 from marketlake.llm.common import table
 from marketlake.llm.ngram_jaccard import near_duplicates
 from marketlake.llm.suffix_dedup import remove_repeats
@@ -75,6 +75,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer)
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_token_counts": op12_token_counts,
     "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
