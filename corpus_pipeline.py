@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least doc_id; rows without doc_id stay."""
+    """Of each group of near copies the row with the least doc_id; rows without words stay."""
     return ngram_jaccard.keep_first(docs)
 
 

@@ -104,6 +104,7 @@ def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     now = stored(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
+    before = None
     for k in range(1, rounds):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -116,12 +117,11 @@ def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
             .union(moved.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        new = stored(small, f"{name}-{k}")
-        same = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        old = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        now = new
-        if tuple(same) == tuple(old):
+        now = stored(small, f"{name}-{k}")
+        sums = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if sums == before or not sums[0]:
             break
+        before = sums
     else:
         raise RuntimeError("components: not settled")
     leaves = now.groupBy("a").agg(F.min("b").alias("component"))

@@ -40,10 +40,45 @@ def test_links_equal_all_pairs(spark, rows, block):
 def test_repeated_rows_and_empty_table(spark, rows):
     df = spark.createDataFrame([(1, "a b c d e f", ""), (1, "a b c d e f", ""), (2, "A b c d e f", ""), (None, "a b c d e f", "")], DOCS)
     got = ngram_jaccard.near_duplicates(df)
-    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted([(1, 2, 1), (2, 2, 1), (None, 2, 1)], key=repr)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (None, 2, 1)], key=repr)
     assert ngram_jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark, rows):
+    """Rows are told apart by id and text: none is lost, and unlike ones are not linked."""
+    texts = ["a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x"]
+    df = spark.createDataFrame([(None, texts[0], ""), (None, texts[1], ""), (1, texts[2], ""), (1, texts[3], ""), (1, "", ""), (1, "", "")], DOCS)
+    got = ngram_jaccard.near_duplicates(df)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted([(None, 2, None)] * 2 + [(1, 2, 1)] * 2 + [(1, 0, 1)] * 2, key=repr)
+    assert rows(ngram_jaccard.keep_first(df)) == rows(df)
+    linked = df.union(spark.createDataFrame([(0, texts[1], ""), (5, texts[2], ""), (None, texts[3], "")], DOCS))
+    got = ngram_jaccard.near_duplicates(linked)
+    want = [(None, 2, None), (None, 2, 0), (0, 2, 0), (1, 2, 1), (5, 2, 1), (1, 2, 1), (None, 2, 1), (1, 0, 1), (1, 0, 1)]
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(want, key=repr)
+    kept = [(None, texts[0], ""), (0, texts[1], ""), (1, texts[2], ""), (1, texts[3], ""), (1, "", ""), (1, "", "")]
+    assert rows(ngram_jaccard.keep_first(linked)) == sorted(kept, key=repr)
+
+
+def test_keep_first_edges(spark, rows):
+    """Repeated rows leave one, also without an id; clashing columns and empty tables pass."""
+    kind = "doc_id long, text string, text_hash string, node int, best string"
+    some = [(None, "a b c d e f", "x", 1, "y")] * 30 + [(3, "q r s t u v w", "x", 1, "y")] * 2 + [(4, None, None, None, None)] * 2
+    df = spark.createDataFrame(some, kind)
+    assert rows(ngram_jaccard.keep_first(df)) == sorted([some[0], some[30], some[32], some[32]], key=repr)
+    assert ngram_jaccard.keep_first(df).columns == df.columns
+    assert ngram_jaccard.keep_first(df.limit(0)).count() == 0
+
+
+def test_one_line_in_all_documents(spark, rows):
+    """A line that all texts share links none of them."""
+    rng = random.Random(9)
+    line = " ".join(f"l{k}" for k in range(25))
+    docs = [(i, f"{line} {' '.join(rng.choice('abcdefgh') * 3 + str(rng.random()) for _ in range(rng.randrange(12, 60)))}") for i in range(200)]
+    df = spark.createDataFrame([(*d, "") for d in docs], DOCS)
+    got = ngram_jaccard.near_duplicates(df, bucket=500, block=300)
+    assert rows(got, "doc_id", "component_id") == sorted([(i, i) for i, _ in docs], key=repr)
+
+
 def test_one_large_group_of_near_copies(spark, rows):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(120)]
