@@ -1,8 +1,11 @@
-"""Exact top-k of user-item scores by blocks of the two factor tables.
-
-The score table has users x items cells and is never built. Users and items are hashed into
-blocks; each pair of blocks is one group of bounded size, multiplied with numpy, from which
-only each user's k best items leave. The groups are spread by Spark over the cluster.
+"""Exact top-k of user-item scores by blocks of the two factor tables, with bounds by norm.
+
+The score table has users x items cells and is never built. Items are cut in blocks by falling norm, and no score
+of a user in a block exceeds the user's norm times the block's greatest. The blocks are taken in rounds of one, two,
+four, ... : a user who has k items goes on only to blocks whose bound reaches the k-th score so far, and leaves when
+the next block's does not. Each pair of a user block and an item block that remains is one group of bounded size,
+multiplied with numpy, from which only each user's k best items leave. The groups are spread by Spark over the
+cluster. How much is saved depends on the norms: nothing if all are alike, most of the table if few items stand out.
 """
 
 from __future__ import annotations
@@ -11,13 +14,16 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.vectors import norm
+from marketlake.sources.lake import stored
 
 _ROWS_AT_ONCE = 256
+#: What rounding may add to a score beyond the product of the norms.
+_SLACK = 1 + 1e-9
 #: Copies of a product's metadata: a popular product stands in many users' lists.
 SALTS = 16
 
@@ -59,6 +65,19 @@ def _block_scorer(k: int, item_columns: Sequence[str], with_seen: bool) -> Calla
     return score
 
 
+def _salted(column: str, by: str) -> tuple:
+    """A salt column for rows, and for the other side all its values."""
+    return F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int").alias(column), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(column)
+
+
+def _seen_lists(seen: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(customer_id, ib, seen): each user's seen items by item block; a popular item is a hot key, so it is salted."""
+    salt, every = _salted("_salt", "customer_id")
+    placed = blocks.select("product_id", "ib", every)
+    pairs = seen.select("customer_id", "product_id", salt).distinct().join(placed, ["product_id", "_salt"])
+    return stored(pairs.groupBy("customer_id", "ib").agg(F.collect_list("product_id").alias("seen")), "seen-lists")
+
+
 def top_scores(
     users: DataFrame,
     items: DataFrame,
@@ -67,6 +86,7 @@ def top_scores(
     metadata: DataFrame | None = None,
     user_block: int = 4096,
     item_block: int = 16384,
+    report: dict[str, int] | None = None,
 ) -> DataFrame:
     """Each user's k best items by dot product, with rank; ties go to the smaller product_id.
 
@@ -75,49 +95,81 @@ def top_scores(
     only. That join is salted by user, as a popular product is a hot key there.
     With `seen` (customer_id, product_id) those pairs are left out before the cut, inside each
     block, so heavy buyers still get k items. Seen lists are per (user, item block) and hence
-    no longer than a block.
+    no longer than a block. All rounds but the last run while the frame is built; `report` gets
+    the number of (user, item block) pairs that were multiplied, and of all.
     """
-    n_users = users.count()
+    everyone = stored(users.select("customer_id", "factors", norm(F.col("factors")).alias("_norm")), "score-users")
+    n_users, n_items = everyone.count(), items.count()
     cores = users.sparkSession.sparkContext.defaultParallelism
-    # At least one group per core, as long as a block keeps a few hundred users.
-    user_blocks = max(1, -(-n_users // user_block), min(cores, n_users // _ROWS_AT_ONCE))
-    item_blocks = max(1, -(-items.count() // item_block))
-
-    def block(col: str, n: int):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = users.select("customer_id", "factors", block("customer_id", user_blocks).alias("ub"), every(item_blocks).alias("ib"))
-    if seen is not None:
-        lists = (
-            seen.select("customer_id", "product_id", block("product_id", item_blocks).alias("ib"))
-            .distinct()
-            .groupBy("customer_id", "ib")
-            .agg(F.collect_list("product_id").alias("seen"))
-        )
-        left = left.join(lists, ["customer_id", "ib"], "left")
-    carried = [c for c in items.columns if c != "factors"]
-    right = items.select("*", block("product_id", item_blocks).alias("ib"), every(user_blocks).alias("ub"))
+    n_blocks = max(1, -(-n_items // item_block))
+    ranged = items.withColumn("_norm", norm(F.col("factors")))
+    if n_blocks > 1:
+        # ties in norm are cut by id
+        ranged = ranged.repartitionByRange(n_blocks, F.desc("_norm"), "product_id")
+        blocks = stored(ranged.withColumn("ib", F.spark_partition_id()), "score-items")
+        bounds = [(r.ib, r.hi) for r in blocks.groupBy("ib").agg(F.max("_norm").alias("hi")).orderBy("ib").collect()]
+    else:
+        blocks, bounds = ranged.withColumn("ib", F.lit(0)), [(0, float("inf"))]
+    lists = None if seen is None else _seen_lists(seen, blocks)
 
+    carried = [c for c in items.columns if c != "factors"]
     nullable = [T.StructField(f.name, f.dataType, True) for f in items.schema.fields if f.name in carried]
     schema = T.StructType(
         [T.StructField("customer_id", users.schema["customer_id"].dataType, True), *nullable, T.StructField("score", T.DoubleType(), True)]
     )
-    partial = (
-        left.groupBy("ub", "ib")
-        .cogroup(right.groupBy("ub", "ib"))
-        .applyInPandas(_block_scorer(k, carried, seen is not None), schema)
-    )
     best = Window.partitionBy("customer_id").orderBy(F.desc("score"), "product_id")
-    top = partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    def reached(hi) -> Column:
+        return F.col("_bar").isNull() | (F.col("_norm") * hi * _SLACK >= F.col("_bar"))
+
+    def multiplied(active: DataFrame, n_active: int, group: list[tuple[int, float]]) -> DataFrame:
+        # At least one group per core, as long as a block keeps a few hundred users.
+        user_blocks = max(1, -(-n_active // user_block), min(cores, n_active // _ROWS_AT_ONCE))
+        place = F.pmod(F.xxhash64("customer_id"), F.lit(user_blocks)).cast("int").alias("ub")
+        left = active.select("customer_id", "factors", place, F.explode(_wanted(group, reached)).alias("ib"))
+        if lists is not None:
+            left = left.join(lists, ["customer_id", "ib"], "left")
+        some = blocks.where(F.col("ib").isin([ib for ib, _ in group])) if n_blocks > 1 else blocks
+        right = some.drop("_norm").withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
+        scorer = _block_scorer(k, carried, seen is not None)
+        return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(scorer, schema)
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    active, n_active = everyone.withColumn("_bar", F.lit(None).cast("double")), n_users
+    top, at, width, done = None, 0, 1, 0
+    while at < len(bounds):
+        group = bounds[at : at + width]
+        at, width = at + width, 2 * width
+        if report is not None:
+            done += active.agg(F.sum(F.size(_wanted(group, reached)))).first()[0] or 0
+        rows = multiplied(active, n_active, group)
+        top = ranked(rows if top is None else rows.unionByName(top.drop("rank")))
+        if at < len(bounds):
+            top = stored(top, "score-top")
+            bars = top.filter(F.col("rank") == k).select("customer_id", F.col("score").alias("_bar"))
+            waiting = active.drop("_bar").join(bars, "customer_id", "left").filter(reached(F.lit(bounds[at][1])))
+            active = stored(waiting, "score-active")
+            n_active = active.count()
+            if not n_active:
+                break
+    if report is not None:
+        report.update(multiplied=done, pairs=n_users * len(bounds))
     if metadata is None:
         return top
     more = [c for c in metadata.columns if c != "product_id"]
-    copies = metadata.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = top.withColumn("_salt", F.pmod(F.xxhash64("customer_id"), F.lit(SALTS)).cast("int"))
-    return salted.join(copies, ["product_id", "_salt"], "left").select("customer_id", *carried, *more, "score", "rank")
+    salt, every = _salted("_salt", "customer_id")
+    salted = top.select("*", salt)
+    return salted.join(metadata.select("*", every), ["product_id", "_salt"], "left").select("customer_id", *carried, *more, "score", "rank")
+
+
+def _wanted(group: list[tuple[int, float]], reached: Callable) -> Column:
+    """Of a round's blocks those whose bound reaches a user's k-th score."""
+    if len(group) == 1:
+        return F.array(F.lit(group[0][0]))
+    every = F.array(*(F.struct(F.lit(ib).alias("ib"), F.lit(hi).alias("hi")) for ib, hi in group))
+    return F.transform(F.filter(every, lambda b: reached(b["hi"])), lambda b: b["ib"])
 
 
 def popular_items(items: DataFrame, k: int) -> DataFrame:

@@ -137,6 +137,44 @@ def test_top_scores_match_brute_force(spark, blocks):
     assert got(scoring.top_scores(uf, itf, 6, sf, **size)) == brute(seen)
 
 
+def test_bounds_prune_blocks(spark):
+    """Items whose norms fall off: the same rows, for a small part of the block pairs, with ties at the k-th score."""
+    rng = np.random.default_rng(5)
+    users = rng.integers(-3, 4, (80, 8)).astype(float)
+    items = (rng.integers(-4, 5, (300, 8)) * 2.0 ** -(np.arange(300)[:, None] // 15)).astype(float)
+    items[200:210] = items[0:10]                            # equal items in far blocks, and equal scores
+    uf = spark.createDataFrame([(f"u{i:02d}", v.tolist()) for i, v in enumerate(users)], USERS)
+    itf = spark.createDataFrame([(f"i{j:03d}", v.tolist()) for j, v in enumerate(items)], ITEMS)
+    bought = {(f"u{i:02d}", f"i{j:03d}") for i in range(80) for j in range(300) if rng.random() < (0.95 if i < 4 else 0.05)}
+    sf = spark.createDataFrame(sorted(bought), "customer_id string, product_id string")
+    for skip, frame in ((set(), None), (bought, sf)):
+        want = set()
+        for i, u in enumerate(users):
+            best = sorted((-(u @ v), f"i{j:03d}") for j, v in enumerate(items) if (f"u{i:02d}", f"i{j:03d}") not in skip)[:5]
+            want |= {(f"u{i:02d}", p, float(-s), n + 1) for n, (s, p) in enumerate(best)}
+        report = {}
+        got = scoring.top_scores(uf, itf, 5, frame, user_block=32, item_block=10, report=report).collect()
+        assert {(r.customer_id, r.product_id, r.score, r["rank"]) for r in got} == want
+        assert report["pairs"] >= 80 * 25 and report["multiplied"] < 0.4 * report["pairs"]
+
+
+def test_equal_norms_prune_nothing_and_lose_nothing(spark):
+    items = spark.createDataFrame([(f"i{j:02d}", [float(np.cos(j)), float(np.sin(j))]) for j in range(60)], ITEMS)
+    users = spark.createDataFrame([("u", [1.0, 0.0]), ("none", [0.0, 0.0])], USERS)
+    got = {(r.customer_id, r["rank"]): r.product_id for r in scoring.top_scores(users, items, 2, item_block=7).collect()}
+    assert got == {("u", 1): "i00", ("u", 2): "i44", ("none", 1): "i00", ("none", 2): "i01"}
+
+
+def test_model_is_absent(spark):
+    """Empty factor tables: no scores, and every request gets the catalogue."""
+    assert scoring.top_scores(spark.createDataFrame([], USERS), spark.createDataFrame([], ITEMS), 3).count() == 0
+    _, _, products = model(spark)
+    frame = spark.createDataFrame([("u1", 2, None)], "customer_id string, n int, category string")
+    spend = spark.createDataFrame([], "customer_id string, avg_spend_per_item double")
+    rows = recommend.recommend(frame, spark.createDataFrame([], USERS), spark.createDataFrame([], ITEMS), products, spend).collect()
+    assert [r.product_id for r in sorted(rows, key=lambda r: r["rank"])] == ["a", "b"] and {r.strategy for r in rows} == {"catalog_fallback"}
+
+
 def test_bulk_lists(spark):
     users, items, products = model(spark)
     seen = spark.createDataFrame([("u1", "e"), *[("u2", p) for p in "abcde"]], "customer_id string, product_id string")
