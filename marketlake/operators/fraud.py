@@ -114,7 +114,12 @@ def decide(alerts: DataFrame, orders: DataFrame | None = None, rules: VelocityRu
     `orders` is the order log the alerts are checked against; by default the alerts themselves.
     Windows end at the order's own created_at.
     """
-    checked = velocity_flags(trailing_activity(alerts, orders, rules), rules)
+    return decide_checked(trailing_activity(alerts, orders, rules), rules)
+
+
+def decide_checked(windowed: DataFrame, rules: VelocityRules = VelocityRules()) -> DataFrame:
+    """The decision on orders that have orders_in_window and spend_in_window; plain expressions, batch or stream."""
+    checked = velocity_flags(windowed, rules)
     existing = F.coalesce(F.col("fraud_score"), F.lit(0.0))
     checked = checked.withColumn("_combined", F.least(existing + F.col("velocity_score"), F.lit(1.0)))
     combined = F.col("_combined")
@@ -132,6 +137,7 @@ def decide(alerts: DataFrame, orders: DataFrame | None = None, rules: VelocityRu
 __all__ = [
     "UNIT",
     "decide",
+    "decide_checked",
     "fraud_alerts",
     "live_orders",
     "order_events",

@@ -22,6 +22,7 @@ from marketlake.streaming import orders as order_jobs
 from marketlake.streaming import sinks
 from marketlake.streaming.alarms import AlarmJob
 from marketlake.streaming.inventory import StockJob
+from marketlake.streaming.velocity_state import StateDecisionJob
 
 PIECES = 5
 
@@ -289,6 +290,21 @@ def decision_stream(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def state_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """The decisions of the order stream by keyed state: each order delivered twice, in several files out of time order."""
+    path = _shuffled_text(_order_bodies(spark, d, copies=2), "order-messages")
+    job = StateDecisionJob(spark, working_path(spark, "state-job"), VelocityRules(max_spend=1000.0))
+    job.start(messages.message_stream(spark, path, files_per_batch=2)).awaitTermination()
+    return job.decisions().select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        "orders_in_window",
+        "spend_in_window",
+        "fraud_decision",
+        "combined_fraud_score",
+        F.array_join("all_fraud_flags", ",").alias("all_fraud_flags"),
+    )
+
+
 def order_event_stream(spark: SparkSession, d: str) -> DataFrame:
     return _order_job(spark, d).events().groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_orders")
@@ -394,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t2_order_stream": order_stream,
     "t4_order_event_stream": order_event_stream,
     "t5_decision_stream": decision_stream,
+    "t5_state_decisions": state_decisions,
     "t6_enriched_click_stream": enriched_click_stream,
     "t7_session_stream": session_stream,
     "t9_stock_level_stream": stock_level_stream,

@@ -540,6 +540,7 @@ ORACLE["s4_stored_interactions"] = ORACLE["a3_product_interactions"]
 ORACLE["s5_csv_catalogue"] = ORACLE["j2_catalogue"]
 ORACLE["t2_order_stream"] = ORACLE["t1_fraud_scores"]
 ORACLE["t5_decision_stream"] = ORACLE["t5_fraud_decisions"]
+ORACLE["t5_state_decisions"] = ORACLE["t5_fraud_decisions"]
 ORACLE["t6_enriched_click_stream"] = ORACLE["p3_enrich_clicks"]
 ORACLE["t7_session_stream"] = ORACLE["t8_click_sessions"]
 ORACLE["t10_alarm_stream"] = ORACLE["t10_backlog_alarms"]

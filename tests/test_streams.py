@@ -17,6 +17,7 @@ from marketlake.streaming import sinks
 from marketlake.streaming.inventory import StockJob, stock_stream
 from marketlake.streaming.orders import REQUIRED, OrderJob
 from marketlake.streaming.sinks import run_now
+from marketlake.streaming.velocity_state import StateDecisionJob
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -159,6 +160,31 @@ def test_decisions_do_not_depend_on_the_order_of_arrival(spark, tmp_path, rows):
     assert rows(job.decisions(), *columns) == want
 
 
+def test_state_decisions_equal_the_logs(spark, tmp_path, rows):
+    """Any split, any order of arrival, values of the state cut small, and a restart from the checkpoint."""
+    records = orders(60)
+    scored = batch_orders(spark, records)
+    columns = ("order_id", "orders_in_window", "spend_in_window", "fraud_decision", "combined_fraud_score", "all_fraud_flags")
+    want = rows(fraud.decide(scored.filter("is_fraud"), scored, VelocityRules()), *columns)
+    shuffled = random.Random(6).sample(records, len(records))
+    for name, groups, part in (("one", [shuffled], 1000), ("four", split(shuffled, 4), 2)):
+        put(tmp_path / name, groups)
+        job = StateDecisionJob(spark, str(tmp_path / f"job-{name}"), part=part)
+        job.start(messages.message_stream(spark, str(tmp_path / name), 1)).awaitTermination()
+        assert rows(job.decisions(), *columns) == want
+
+    # some files, then a new query on the same checkpoint with the rest; copies of earlier orders change nothing
+    groups = split(shuffled, 3)
+    put(tmp_path / "late", groups[:1])
+    job = StateDecisionJob(spark, str(tmp_path / "job-late"))
+    job.start(messages.message_stream(spark, str(tmp_path / "late"), 1)).awaitTermination()
+    first = rows(job.decisions(), *columns)
+    put(tmp_path / "late", [groups[0], groups[1] + groups[0][:5], groups[2]])
+    again = StateDecisionJob(spark, str(tmp_path / "job-late"))
+    again.start(messages.message_stream(spark, str(tmp_path / "late"), 1)).awaitTermination()
+    assert rows(again.decisions(), *columns) == want != first
+
+
 def test_a_batch_lists_only_the_days_in_reach(spark, tmp_path, rows):
     path = str(tmp_path / "log")
     for i in range(12):
