@@ -26,6 +26,8 @@ class VelocityRules:
     order_window_s: int = 3600
     spend_window_s: int = 86400
     slot_s: int = 3600
+    # Rows of one key that a slot may have before it is cut in parts.
+    busy: int = 200_000
     max_orders: int = 3
     max_spend: float = 1500.0
     w_orders: float = 0.40

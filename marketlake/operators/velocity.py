@@ -12,6 +12,12 @@ A plain RANGE window puts all rows of one key into one task. Here time is cut in
 
 So a group holds one key's rows of three slots, not its whole history, and the result is
 exactly that of the RANGE window (equal times included).
+
+A burst can put very many rows of one key into one slot. The largest slot is counted first; if
+it has more than `rules.busy` rows, every slot is cut in parts of equal length, short enough
+for no part to have more. The same sums are then taken over the parts of a slot, from one row
+for each part, and a sorted group holds the rows of one part. Only rows of the same microsecond
+cannot be cut.
 """
 
 from __future__ import annotations
@@ -24,6 +30,8 @@ from marketlake.functions.numeric import UNIT, units
 from marketlake.functions.timefn import micros
 
 _OWN, _EDGE_A, _EDGE_B, _SLOTS, _TARGET = 1, 2, 3, 4, 5
+#: Parts of a slot that are tried, one after another.
+PARTS = (1, 1 << 10, 1 << 20)
 
 
 def trailing_activity(
@@ -53,9 +61,11 @@ def trailing_activity(
             F.col(key).alias("k"), us.alias("us"), F.coalesce(units(F.col(amount)), F.lit(0)).alias("amt"), *extra
         ).withColumn("slot", F.floor(F.col("us") / F.lit(slot_us)).cast("bigint"))
 
+    usable = F.col("k").isNotNull() & F.col("us").isNotNull()
     target_rows = timed(targets, payload.alias("row"))
-    events = target_rows if own_history else timed(history)
-    events = events.filter(F.col("k").isNotNull() & F.col("us").isNotNull())
+    events = (target_rows if own_history else timed(history)).filter(usable)
+    parts = parts_needed(events if own_history else events.unionByName(target_rows.filter(usable).drop("row")), slot_us, rules.busy)
+    target_rows, events = (df.withColumn("part", _part(slot_us, parts)) for df in (target_rows, events))
 
     def place(kind: int, shift_slots: int) -> Column:
         return F.struct(
@@ -66,9 +76,10 @@ def trailing_activity(
 
     copies = events.select(
         "k",
+        "part",
         "amt",
         F.explode(F.array(place(_OWN, 0), place(_EDGE_A, order_slots), place(_EDGE_B, spend_slots))).alias("p"),
-    ).select("k", "amt", "p.kind", "p.slot", "p.pos")
+    ).select("k", "part", "amt", "p.kind", "p.slot", "p.pos")
     if own_history:
         copies = copies.filter(F.col("kind") != _OWN)
 
@@ -94,10 +105,18 @@ def trailing_activity(
         between("amt", spend_slots).alias("mid_amt"),
     )
 
+    if parts == 1:
+        middles = middles.withColumn("part", F.lit(0))
+    else:
+        wanted = target_rows.filter(usable).select("k", "slot", "part").distinct()
+        middles = _sums_beside_parts(events, wanted, middles.drop("pos", "kind"), (order_slots, spend_slots)).withColumns(
+            {"pos": F.col("slot") * slot_us, "kind": F.lit(_SLOTS)}
+        )
+
     # Rows without key or time have no window; a hash for a slot keeps them from meeting in one group.
-    usable = F.col("k").isNotNull() & F.col("us").isNotNull()
     targets_placed = target_rows.select(
         "k",
+        F.when(usable, F.col("part")).otherwise(F.lit(0)).alias("part"),
         F.when(usable, F.col("slot")).otherwise(F.xxhash64("row")).alias("slot"),
         F.when(usable, F.col("us")).alias("pos"),
         F.lit(_TARGET).alias("kind"),
@@ -106,7 +125,7 @@ def trailing_activity(
     )
     together = targets_placed.unionByName(copies, allowMissingColumns=True).unionByName(middles, allowMissingColumns=True)
 
-    ordered = Window.partitionBy("k", "slot").orderBy("pos")
+    ordered = Window.partitionBy("k", "slot", *(["part"] if parts > 1 else [])).orderBy("pos")
     upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = ordered.rangeBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -140,3 +159,49 @@ def trailing_activity(
         .filter(kind == _TARGET)
         .select("row.*", "orders_in_window", (F.col("_amt") / F.lit(float(UNIT))).alias("spend_in_window"))
     )
+
+
+def _part(slot_us: int, parts: int) -> Column:
+    """The part of its slot that a time lies in."""
+    length = -(-slot_us // parts)
+    return F.floor((F.col("us") - F.col("slot") * F.lit(slot_us)) / F.lit(length)).cast("int")
+
+
+def parts_needed(events: DataFrame, slot_us: int, busy: int) -> int:
+    """The fewest parts of a slot, of those tried, that leave no key more than `busy` rows in one."""
+    for parts in PARTS:
+        sizes = events.groupBy("k", "slot", _part(slot_us, parts).alias("part")).count()
+        if (sizes.agg(F.max("count")).first()[0] or 0) <= busy:
+            break
+    return parts
+
+
+def _sums_beside_parts(events: DataFrame, wanted: DataFrame, middles: DataFrame, shifts: tuple[int, int]) -> DataFrame:
+    """For each wanted part of a slot, what lies in the windows outside of that part: (k, slot, part, mid_n, mid_amt).
+
+    The own slot's parts before it, the parts behind it of the slots at the far edges, and the whole slots between.
+    A group holds one row for each part of three slots.
+    """
+    sums = events.groupBy("k", "slot", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("amt").alias("amt"))
+
+    def placed(kind: int, shift: int) -> DataFrame:
+        return sums.select("k", (F.col("slot") + shift).alias("slot"), "part", "n", "amt", F.lit(kind).alias("kind"))
+
+    rows = placed(_OWN, 0).unionByName(placed(_EDGE_A, shifts[0])).unionByName(placed(_EDGE_B, shifts[1]))
+    rows = rows.unionByName(wanted.withColumn("kind", F.lit(_TARGET)), allowMissingColumns=True)
+    between = middles.withColumns({"kind": F.lit(_SLOTS), "part": F.lit(-1)})
+    rows = rows.unionByName(between, allowMissingColumns=True)
+    ordered = Window.partitionBy("k", "slot").orderBy("part")
+    upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = ordered.rangeBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def total(kind: int, value: str, frame) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(value))).over(frame), F.lit(0).cast("bigint"))
+
+    def beside(value: str, edge: int) -> Column:
+        far = total(edge, value, whole) - total(edge, value, upto)
+        return total(_OWN, value, before) + far + F.coalesce(F.max(f"mid_{value}").over(whole), F.lit(0).cast("bigint"))
+
+    out = rows.select("k", "slot", "part", "kind", beside("n", _EDGE_A).alias("mid_n"), beside("amt", _EDGE_B).alias("mid_amt"))
+    return out.filter(F.col("kind") == _TARGET).drop("kind")

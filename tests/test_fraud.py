@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.config import VelocityRules
-from marketlake.operators import fraud, upsert
+from marketlake.operators import fraud, upsert, velocity
 from marketlake.operators.velocity import trailing_activity
 
 ITEM = ("p", "c", 1, 10.0, 1.0)
@@ -120,6 +120,36 @@ def test_windows_match_brute_force_with_a_hot_customer(spark, rules):
     assert some == {**{o[0]: brute(o) for o in orders if o[0] % 3 == 0}, 9999: (0, 0.0)}
 
 
+@pytest.mark.parametrize("spread_s", [3600, 1])
+def test_a_burst_of_one_customer_is_cut_in_parts(spark, spread_s):
+    """A third of all rows in one hour, or in one second of it: same windows, and no sorted group holds more than is allowed."""
+    rng = random.Random(8)
+    base = dt.datetime(2024, 1, 5)
+    orders = [(i, "hot", base + dt.timedelta(microseconds=rng.randrange(spread_s * 1_000_000)), float(rng.randrange(100))) for i in range(300)]
+    orders += [(1000 + i, rng.choice(["hot", "a", "b"]), base + dt.timedelta(seconds=rng.randrange(-90_000, 90_000)), 2.0) for i in range(600)]
+    schema = "order_id long, customer_id string, created_at timestamp_ntz, total double"
+    history = spark.createDataFrame(orders, schema)
+    rules = VelocityRules(busy=40)
+    slot_us = rules.slot_s * 1_000_000
+    timed = history.select(F.col("customer_id").alias("k"), F.unix_micros(F.col("created_at").cast("timestamp")).alias("us"))
+    timed = timed.withColumn("slot", F.floor(F.col("us") / slot_us).cast("long"))
+    parts = velocity.parts_needed(timed, slot_us, rules.busy)
+    assert parts == (1 << 10 if spread_s == 3600 else 1 << 20)
+    assert timed.groupBy("k", "slot", velocity._part(slot_us, parts)).count().agg(F.max("count")).first()[0] <= rules.busy
+
+    def brute(o):
+        near = [h for h in orders if h[1] == o[1] and h[2] <= o[2]]
+        hour, day = (sum(1 for h in near if h[2] >= o[2] - dt.timedelta(hours=1)), sum(h[3] for h in near if h[2] >= o[2] - dt.timedelta(days=1)))
+        return hour, round(day, 2)
+
+    want = {o[0]: brute(o) for o in orders}
+    own = trailing_activity(history, None, rules).collect()
+    assert {r.order_id: (r.orders_in_window, round(r.spend_in_window, 2)) for r in own} == want
+    targets = history.filter("order_id % 3 = 0").unionByName(spark.createDataFrame([(9999, "new", base, 5.0), (9998, None, base, 5.0)], schema))
+    some = trailing_activity(targets, history, rules).collect()
+    assert {r.order_id: (r.orders_in_window, round(r.spend_in_window, 2)) for r in some} == {**{i: w for i, w in want.items() if i % 3 == 0}, 9999: (0, 0.0), 9998: (0, 0.0)}
+
+
 def test_rows_without_customer_or_time_have_no_window(spark, rows):
     at = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([(1, None, at, 5.0), (2, None, at, 5.0), (3, "a", None, 5.0), (4, "a", at, 5.0), (5, None, None, 5.0)],
