@@ -15,12 +15,12 @@ Suffix arrays by induced sorting, sharded so that equal strings always meet:
 4. Ranges of repeated starts return to the occurrences and are united to spans per document.
 
 Anchors with very many different contexts (a passage of 48 to 399 bytes in many documents) would make one
-shard too large: their contexts are first thinned to windows whose 64-bit hash occurs twice under the
-anchor, counted by Spark over all of them; only contexts that keep such a window reach the shard.
+shard too large: their windows do not reach a shard but are counted by 64-bit hash under the anchor, by Spark
+over all of them.
 
-A null text is empty; so is a text shorter than 400 bytes in that nothing of it can go. Rows with the same
-doc_id are separate texts that repeat each other: rows are told apart by a number given at the start, and
-each gets its own result row. Empty tables give no rows. Other columns are ignored.
+A null text is empty; so is a text shorter than 400 bytes in that nothing of it can go. Rows are told apart by
+doc_id and text. Rows equal in both repeat each other; they are worked on once, with their number, and each gets
+its own result row. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -115,16 +115,16 @@ def _occurrences(window: int, seed: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, STEP):
             data, offsets = bytes_of(part["text"])
-            ids, own = (np.asarray(part[c].combine_chunks()) for c in ("doc_id", "own"))
+            ids, own, copies = (np.asarray(part[c].combine_chunks()) for c in ("doc_id", "own", "copies"))
             for doc, place, start, end, anchor in _anchors(data, offsets, window, seed):
                 if not len(doc):
                     continue
                 lo, hi = start[0], end[-1] + window
                 # the anchor's offset belongs to the context: equal bytes give equal windows then
                 context = _spans_hash(data[lo:hi], start - lo, end - lo + window) + mixed((place - start).astype(np.uint64))
-                columns = [ids[doc], own[doc], start - offsets[doc], (end - start).astype(np.int32)]
+                columns = [ids[doc], own[doc], copies[doc], start - offsets[doc], (end - start).astype(np.int32)]
                 columns += [anchor.view(np.int64), context.view(np.int64)]
-                yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "own", "start", "more", "anchor", "context"])
+                yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "own", "copies", "start", "more", "anchor", "context"])
 
     return find
 
@@ -419,22 +419,37 @@ def _kept(window: int):
     return keep
 
 
+def _different(rows: DataFrame) -> DataFrame:
+    """doc_id, own, text and number of rows (copies) of each different row.
+
+    Only rows that repeat are grouped with their texts; partial sums leave one of them a task.
+    """
+    key = ["doc_id", "own"]
+    repeated = stored(rows.groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1"), "repeated-rows")
+    every = rows.select(*key, "text")
+    if not repeated.head(1):
+        return every.withColumn("copies", F.lit(1).cast("long"))
+    once = every.join(repeated, key, "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    return once.unionByName(every.join(repeated.select(*key), key, "left_semi").groupBy(*key).agg(F.first("text").alias("text"), F.count("*").alias("copies")))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, shard: int = SHARD, many: int = MANY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of `docs` (doc_id, text)."""
     # a row is known by its id and text: rows equal in both have the same result
     rows = texts(docs).withColumn("own", F.xxhash64("text")).withColumn("no_id", F.col("doc_id").isNull())
     rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long"))).withColumn("own", F.col("own") + F.col("no_id").cast("long"))
-    found = rows.select("doc_id", "own", "text").mapInArrow(
-        _occurrences(window, seed), "doc_id long, own long, start long, more int, anchor long, context long"
+    different_rows = _different(rows)
+    found = different_rows.mapInArrow(
+        _occurrences(window, seed), "doc_id long, own long, copies long, start long, more int, anchor long, context long"
     )
     found = stored(found, "anchors")
-    often = found.groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1").select("anchor")
+    often = found.groupBy("anchor").agg(F.sum("copies").alias("total")).where("total > 1").select("anchor")
     # salted: an anchor of a large group of copies is cut in several tasks
     often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
     found = stored(salted.join(often, ["anchor", "salt"]).drop("salt"), "repeated")
     contexts = found.groupBy("anchor", "context").agg(
-        F.count("*").alias("weight"), F.min(F.struct("doc_id", "own", "start", "more")).alias("at")
+        F.sum("copies").alias("weight"), F.min(F.struct("doc_id", "own", "start", "more")).alias("at")
     )
     contexts = stored(contexts, "contexts")
     large = contexts.groupBy("anchor").agg(F.count("*").alias("different")).where(F.col("different") > many)
@@ -445,7 +460,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, shar
         F.struct("anchor", "context", "weight", F.col("at.start").alias("start"), F.col("at.more").alias("more"), F.col("different").isNotNull().alias("hot")).alias("w"),
     )
     wanted = picked.groupBy("doc_id", "own").agg(F.collect_list("w").alias("wanted"))
-    source = rows.select("doc_id", "own", "text").join(wanted, ["doc_id", "own"]).select("text", "wanted")
+    source = different_rows.select("doc_id", "own", "text").join(wanted, ["doc_id", "own"]).select("text", "wanted")
     pieces = source.mapInArrow(_cut_out(window), "anchor long, context long, weight long, more int, piece binary, hashes array<long>")
     thinned = bool(large.head(1))
     if thinned:

@@ -123,3 +123,16 @@ def test_repeats_equal_brute_force(spark, rows, tables, many):
     got = suffix_dedup.remove_repeats(df, shard=20_000, many=many)
     assert rows(got) == brute.repeats_removed(docs, 400)
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_many_equal_rows_are_worked_on_once(spark, rows):
+    """Rows equal in id and text, with and without an id, beside others that share part of the text."""
+    rng = random.Random(12)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    other = "".join(rng.choice("abcdefgh ") for _ in range(900)) + text[300:900]
+    docs = [(None, text)] * 6 + [(1, text)] * 3 + [(2, other)] * 2 + [(3, other[:800])] + [(None, None)] * 2 + [(0, text)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame([(*d, "") for d in docs], DOCS))
+    assert rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats_removed(docs, 400)
+    many = spark.range(5000).selectExpr("cast(null as long) AS doc_id", f"'{text}' AS text", "'' AS component")
+    done = suffix_dedup.remove_repeats(many).groupBy("n_removed").count().collect()
+    assert [(r.n_removed, r["count"]) for r in done] == [(2000, 5000)]
