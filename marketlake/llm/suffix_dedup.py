@@ -40,7 +40,7 @@ WINDOW = 400
 SEED = 48
 #: Text bytes that a task turns to arrays at once; bytes of a shard.
 STEP = 2_000_000
-SHARD = 2_000_000
+SHARD = 1_000_000
 #: Contexts of an anchor from which on they are thinned first.
 MANY = 2_000
 #: Parts of a hot anchor.
@@ -346,26 +346,32 @@ def _runs(starts: np.ndarray) -> bytes:
 def _cut_out(window: int):
     """Documents with the contexts to take from them -> context bytes, or hashes of its windows if it is thinned."""
 
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+
+    def packed(out: list[tuple]) -> pa.RecordBatch:
+        names = ["anchor", "context", "weight", "more", "piece", "hashes"]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
         for batch in batches:
-            out = []
-            for text, wanted in zip(batch["text"], batch["wanted"].to_pylist(), strict=True):
-                text = text.as_buffer().to_pybytes()
-                for x in wanted:
-                    piece = text[x["start"] : x["start"] + x["more"] + window]
-                    hashes = None
+            for text, wanted in zip(batch["text"], batch["wanted"], strict=True):
+                text = text.as_buffer()
+                for x in wanted.as_py():
+                    size = x["more"] + window
+                    piece, hashes = memoryview(text)[x["start"] : x["start"] + size].tobytes(), None
                     if x["hot"]:
                         at = np.arange(x["more"] + 1)
                         hashes = _spans_hash(np.frombuffer(piece, np.uint8), at, at + window).view(np.int64)
                         piece = None
                     out.append((x["anchor"], x["context"], x["weight"], x["more"], piece, hashes))
-            for k in range(0, len(out), 5000):
-                columns = zip(*out[k : k + 5000], strict=True)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.record_batch(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    ["anchor", "context", "weight", "more", "piece", "hashes"],
-                )
+                    held += size * (8 if x["hot"] else 1)
+                    if held > STEP or len(out) >= 5000:
+                        yield packed(out)
+                        out, held = [], 0
+        if out:
+            yield packed(out)
+        release()
 
     return cut
 
