@@ -13,8 +13,8 @@ A plain RANGE window puts all rows of one key into one task. Here time is cut in
 So a group holds one key's rows of three slots, not its whole history, and the result is
 exactly that of the RANGE window (equal times included).
 
-A burst can put very many rows of one key into one slot. The largest slot is counted first; if
-it has more than `rules.busy` rows, every slot is cut in parts of equal length, short enough
+A burst can put very many rows of one key into one slot. The history's largest slot is counted
+first (targets are taken to be part of the history, as in the log); if it has more than `rules.busy` rows, every slot is cut in parts of equal length, short enough
 for no part to have more. The same sums are then taken over the parts of a slot, from one row
 for each part, and a sorted group holds the rows of one part. Only rows of the same microsecond
 cannot be cut.
@@ -64,7 +64,7 @@ def trailing_activity(
     usable = F.col("k").isNotNull() & F.col("us").isNotNull()
     target_rows = timed(targets, payload.alias("row"))
     events = (target_rows if own_history else timed(history)).filter(usable)
-    parts = parts_needed(events if own_history else events.unionByName(target_rows.filter(usable).drop("row")), slot_us, rules.busy)
+    parts = parts_needed(events, slot_us, rules.busy)
     target_rows, events = (df.withColumn("part", _part(slot_us, parts)) for df in (target_rows, events))
 
     def place(kind: int, shift_slots: int) -> Column:
