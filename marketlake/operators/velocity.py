@@ -18,6 +18,11 @@ first (targets are taken to be part of the history, as in the log); if it has mo
 for no part to have more. The same sums are then taken over the parts of a slot, from one row
 for each part, and a sorted group holds the rows of one part. Only rows of the same microsecond
 cannot be cut.
+
+A history of its own is cut at its scan, before anything is shuffled: a Bloom filter of the (key, span of
+slots) that some target's windows reach leaves only rows near a target, and one of the targets' (key, slot)
+leaves only the copies that some target meets. A row that passes by chance meets no target, so the results
+are the same. A filter has at most `MOST_BITS` bits, in words of 64: a table of at most 2**20 rows, which is broadcast.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from marketlake.functions.timefn import micros
 _OWN, _EDGE_A, _EDGE_B, _SLOTS, _TARGET = 1, 2, 3, 4, 5
 #: Parts of a slot that are tried, one after another.
 PARTS = (1, 1 << 10, 1 << 20)
+#: Bits of a Bloom filter for each target, and the least and most bits of one.
+BITS_EACH, LEAST_BITS, MOST_BITS = 32, 1 << 12, 1 << 26
 
 
 def trailing_activity(
@@ -63,7 +70,16 @@ def trailing_activity(
 
     usable = F.col("k").isNotNull() & F.col("us").isNotNull()
     target_rows = timed(targets, payload.alias("row"))
-    events = (target_rows if own_history else timed(history)).filter(usable)
+    if own_history:
+        events = target_rows.filter(usable)
+    else:
+        past = timed(history).filter(usable)
+        # equal keys of different types have different hashes
+        kind_of_key = target_rows.select("k").unionByName(past.select("k")).schema["k"].dataType
+        target_rows, past = (df.withColumn("k", F.col("k").cast(kind_of_key)) for df in (target_rows, past))
+        met = target_rows.filter(usable).select("k", "slot").distinct()
+        bits = filter_bits(met.count())
+        events = in_reach(past, met, max(order_slots, spend_slots), bits)
     parts = parts_needed(events, slot_us, rules.busy)
     target_rows, events = (df.withColumn("part", _part(slot_us, parts)) for df in (target_rows, events))
 
@@ -82,12 +98,13 @@ def trailing_activity(
     ).select("k", "part", "amt", "p.kind", "p.slot", "p.pos")
     if own_history:
         copies = copies.filter(F.col("kind") != _OWN)
+    else:
+        copies = seen(copies, met, ("k", "slot"), bits)
 
     # Sums of whole slots strictly between the row's slot and the far edge.
     per_slot = events.groupBy("k", "slot").agg(F.count(F.lit(1)).alias("n"), F.sum("amt").alias("amt"))
     if not own_history:
-        wanted = target_rows.select("k", "slot").distinct()
-        zero = wanted.select("k", "slot", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("amt"))
+        zero = met.select("k", "slot", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("amt"))
         per_slot = per_slot.unionByName(zero).groupBy("k", "slot").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
     by_slot = Window.partitionBy("k").orderBy("slot")
 
@@ -161,6 +178,39 @@ def trailing_activity(
     )
 
 
+def filter_bits(keys: int) -> int:
+    """The bits of a filter for so many keys: a power of two, within the bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (keys * BITS_EACH - 1).bit_length()))
+
+
+def seen(rows: DataFrame, keys: DataFrame, by: tuple[str, ...], bits: int) -> DataFrame:
+    """The rows whose `by` may be among the keys: none that is goes, and few that are not stay. No row is shuffled.
+
+    Each key sets two bits of one word of 64; the words that have a bit are a table of at most bits / 64 rows.
+    """
+    code = F.xxhash64(*by)
+    word = F.shiftrightunsigned(code, 12).bitwiseAND(F.lit(bits // 64 - 1))
+
+    def mask(first: int) -> Column:
+        return F.expr(f"shiftleft(1L, cast(shiftrightunsigned(_code, {first}) & 63 as int))")
+
+    both = mask(0).bitwiseOR(mask(6))
+    words = keys.select(code.alias("_code")).select(
+        F.shiftrightunsigned("_code", 12).bitwiseAND(F.lit(bits // 64 - 1)).alias("_word"), both.alias("_mask")
+    ).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    coded = rows.withColumns({"_code": code, "_word": word})
+    met = coded.join(F.broadcast(words), "_word").filter(F.col("_bits").bitwiseAND(both) == both)
+    return met.select(*rows.columns)
+
+
+def in_reach(events: DataFrame, met: DataFrame, reach: int, bits: int) -> DataFrame:
+    """Events at most `reach` slots before a target of their key, and some others: each target asks two spans of slots."""
+    span = F.floor(F.col("slot") / F.lit(reach))
+    ends = F.array(F.col("slot"), F.col("slot") - reach)
+    asked = met.select("k", F.explode(ends).alias("slot")).select("k", span.alias("span"))
+    return seen(events.withColumn("span", span), asked, ("k", "span"), 2 * bits if bits < MOST_BITS else bits).drop("span")
+
+
 def _part(slot_us: int, parts: int) -> Column:
     """The part of its slot that a time lies in."""
     length = -(-slot_us // parts)

@@ -209,3 +209,21 @@ def test_latest_and_merged_orders(spark, rows):
     assert rows(merged, "order_id", "fraud_decision") == [("o1", "BLOCK"), ("o2", None)]
     again = upsert.merge_decisions(merged, spark.createDataFrame([("o2", "c", "PASS", 0.1)], decisions.schema))
     assert rows(again, "order_id", "fraud_decision") == [("o1", "BLOCK"), ("o2", "PASS")]
+
+
+def test_a_history_is_cut_to_the_reach_of_its_targets(spark, rows):
+    """Rows that pass the filter follow the targets; keys of another type meet all the same."""
+    hour = 3_600_000_000
+    events = spark.range(200_000).select((F.col("id") % 2000).alias("k"), (F.floor(F.col("id") / 2000) * hour).alias("us"))
+    events = events.withColumn("slot", F.floor(F.col("us") / hour))
+    met = spark.createDataFrame([(7, 50), (7, 51), (1999, 99)], "k long, slot long")
+    bits = velocity.filter_bits(3)
+    needed = events.filter("(k = 7 and slot between 26 and 51) or (k = 1999 and slot between 75 and 99)")
+    near = velocity.in_reach(events, met, 24, bits)
+    assert needed.exceptAll(near).isEmpty()
+    assert near.count() < 600
+    exact = velocity.seen(events, met, ("k", "slot"), bits)
+    assert {(7, 50), (7, 51), (1999, 99)} <= set(rows(exact, "k", "slot")) and exact.count() < 400
+    targets = spark.createDataFrame([(1, 5, dt.datetime(2024, 1, 1, 10), 1.0)], "order_id long, customer_id int, created_at timestamp_ntz, total double")
+    history = spark.createDataFrame([(5, dt.datetime(2024, 1, 1, 9, 30), 2.0)], "customer_id long, created_at timestamp_ntz, total double")
+    assert rows(trailing_activity(targets, history), "orders_in_window", "spend_in_window") == [(1, 2.0)]
