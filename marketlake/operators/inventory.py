@@ -63,18 +63,19 @@ def stock_changes(events: DataFrame) -> DataFrame:
     return events.groupBy("product_id").agg(F.max(newest).alias("newest"), F.min(oldest).alias("oldest"))
 
 
+def fold_changes(changes: DataFrame) -> DataFrame:
+    """Changes of any number of batches, one row per product again."""
+    return changes.groupBy("product_id").agg(F.max("newest").alias("newest"), F.min("oldest").alias("oldest"))
+
+
 def stock_view(changes: DataFrame) -> DataFrame:
     """Current state per product over any number of batches of changes."""
-    return (
-        changes.groupBy("product_id")
-        .agg(F.max("newest").alias("new"), F.min("oldest").alias("old"))
-        .select(
-            "product_id",
-            "old.category",
-            "new.stock_level",
-            F.col("new.timestamp").alias("last_updated"),
-            "new.warehouse_id",
-        )
+    return fold_changes(changes).select(
+        "product_id",
+        "oldest.category",
+        "newest.stock_level",
+        F.col("newest.timestamp").alias("last_updated"),
+        "newest.warehouse_id",
     )
 
 

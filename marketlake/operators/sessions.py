@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.config import SessionRules
@@ -46,14 +46,25 @@ def fold_slots(slots: DataFrame) -> DataFrame:
     )
 
 
-def merge_slots(slots: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
-    """Sessions from slots. Only slots are put in order per session_id: at most one per slot of time."""
+def _numbered(slots: DataFrame, rules: SessionRules) -> DataFrame:
+    """Slots with the number of their session. Only slots are put in order per session_id: at most one per slot of time."""
     gap_us = rules.gap_s * 1_000_000
     by_time = Window.partitionBy("session_id").orderBy("slot")
     opens = F.coalesce(F.col("start") - F.lag("end").over(by_time) > gap_us, F.lit(True))
-    numbered = slots.withColumn("opens", opens.cast("int")).withColumn("no", F.sum("opens").over(by_time))
+    return slots.withColumn("opens", opens.cast("int")).withColumn("no", F.sum("opens").over(by_time))
+
+
+def live_slots(slots: DataFrame, as_of_epoch: Column, rules: SessionRules = SessionRules()) -> DataFrame:
+    """The slots of sessions that have not expired; a session goes or stays as a whole."""
+    last = F.max("end").over(Window.partitionBy("session_id", "no"))
+    numbered = _numbered(slots, rules).withColumn("last", last)
+    return numbered.filter(F.floor(F.col("last") / F.lit(1_000_000)) + rules.gap_s > as_of_epoch).select(*slots.columns)
+
+
+def merge_slots(slots: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
+    """Sessions from slots."""
     return (
-        numbered.groupBy("session_id", "no")
+        _numbered(slots, rules).groupBy("session_id", "no")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),

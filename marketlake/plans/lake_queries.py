@@ -265,7 +265,7 @@ def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
 def _run_orders(spark: SparkSession, d: str) -> order_jobs.OrderJob:
     """Orders, each delivered twice, in several files and batches out of time order, run through the order stream."""
     path = _shuffled_text(_order_bodies(spark, d, copies=2), "order-messages")
-    job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0), log_by="month")
+    job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0), log_by="month", every=2)
     sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job
 
@@ -338,7 +338,7 @@ def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
 def session_stream(spark: SparkSession, d: str) -> DataFrame:
     """All sessions after the last of several batches out of time order."""
     path = _shuffled_text(_click_bodies(spark, d), "click-messages")
-    job = click_jobs.ClickJob(spark, working_path(spark, "click-job"))
+    job = click_jobs.ClickJob(spark, working_path(spark, "click-job"), every=1)
     sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job.sessions().select(
         F.col("session_id").cast("bigint").alias("session_id"),
@@ -355,9 +355,9 @@ def _stock_job(spark: SparkSession, d: str) -> StockJob:
 
 
 def _run_stock(spark: SparkSession, d: str) -> StockJob:
-    path = _written_text(_stock_bodies(spark, d), "stock-messages")
-    job = StockJob(spark, working_path(spark, "stock-job"))
-    sinks.run_now(job.start(messages.message_stream(spark, path)))
+    path = _shuffled_text(_stock_bodies(spark, d), "stock-messages")
+    job = StockJob(spark, working_path(spark, "stock-job"), every=1)
+    sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job
 
 

@@ -13,12 +13,13 @@ from marketlake.operators import sessions
 from marketlake.operators.clean import enrich_clicks
 from marketlake.sources import messages
 from marketlake.streaming import sinks
+from marketlake.streaming.snapshots import Snapshot, bucket_of
 
 REQUIRED = ("session_id",)
 HOURLY = ("year", "month", "day", "hour")
 SLOT_SCHEMA = (
     "session_id string, slot bigint, start bigint, end bigint, n bigint, "
-    "first struct<us: bigint, event_id: string, customer_id: string>, batch_id int"
+    "first struct<us: bigint, event_id: string, customer_id: string>, bucket int"
 )
 
 
@@ -60,18 +61,36 @@ class ClickJob:
     A batch reduces its clicks to a row per session and slot of time, and sessions are a view over these
     rows: every session can be read right after its click, late clicks count, and the cut in batches does
     not matter. A click without time counts at its arrival.
+
+    Batches are folded into versions by bucket of the session_id. With `keep_s`, a session leaves the state so long
+    after it expired; without, none does.
     """
 
-    def __init__(self, spark: SparkSession, root: str, rules: SessionRules = SessionRules()):
+    def __init__(
+        self, spark: SparkSession, root: str, rules: SessionRules = SessionRules(), keep_s: int | None = None,
+        buckets: int = 16, every: int = 16,
+    ):
         self.spark = spark
         self.root = root
         self.rules = rules
+        self.keep_s = keep_s
+        self.buckets = buckets
+        self.slots = Snapshot(spark, self.path("session_slots"), SLOT_SCHEMA, "bucket", self._folded, every)
+
+    def _folded(self, slots: DataFrame) -> DataFrame:
+        folded = self._placed(sessions.fold_slots(slots))
+        if self.keep_s is None:
+            return folded
+        return sessions.live_slots(folded, F.unix_timestamp() - self.keep_s, self.rules)
+
+    def _placed(self, slots: DataFrame) -> DataFrame:
+        return slots.withColumn("bucket", bucket_of("session_id", self.buckets))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def on_batch(self, clicks: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(sessions.session_slots(clicks, self.rules), self.path("session_slots"), batch_id)
+        self.slots.add(self._placed(sessions.session_slots(clicks, self.rules)), batch_id)
 
     def start(self, bodies: DataFrame, available_now: bool = True) -> list[StreamingQuery]:
         good = click_stream(bodies)
@@ -85,10 +104,15 @@ class ClickJob:
             ),
         ]
 
-    def sessions(self) -> DataFrame:
-        """Every session up to the last batch."""
-        slots = sinks.read_log(self.spark, self.path("session_slots"), SLOT_SCHEMA)
-        return sessions.merge_slots(sessions.fold_slots(slots), self.rules)
+    def sessions(self, as_of: int | None = None) -> DataFrame:
+        """Every session up to the last batch, or those that have not expired at a time in epoch seconds."""
+        found = sessions.merge_slots(self.slots.read(), self.rules)
+        return found if as_of is None else found.filter(F.col("expires_at") > as_of)
+
+    def session(self, session_id: str) -> DataFrame:
+        """The sessions of one id; only its bucket is listed and read."""
+        bucket = self.spark.range(1).select(bucket_of(F.lit(session_id), self.buckets)).first()[0]
+        return sessions.merge_slots(self.slots.read([bucket]).filter(F.col("session_id") == session_id), self.rules)
 
     def quarantine(self) -> DataFrame:
         return self.spark.read.parquet(self.path("quarantine"))

@@ -11,6 +11,7 @@ from marketlake.config import StockRules
 from marketlake.operators import inventory
 from marketlake.sources import messages
 from marketlake.streaming import sinks
+from marketlake.streaming.snapshots import Snapshot, bucket_of
 
 REQUIRED = ("product_id", "current_stock")
 
@@ -28,18 +29,33 @@ def quarantine_stream(bodies: DataFrame) -> DataFrame:
 
 
 class StockJob:
-    """Writes alerts, a change log of one row per product and batch, and a quarantine of bad records below one folder."""
+    """Writes alerts, the stock state, and a quarantine of bad records below one folder.
 
-    def __init__(self, spark: SparkSession, root: str, rules: StockRules = StockRules()):
+    A batch adds one row per product; batches are folded into versions by product bucket, and a fold rewrites
+    only the buckets its batches touch.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, rules: StockRules = StockRules(), buckets: int = 16, every: int = 16
+    ):
         self.spark = spark
         self.root = root
         self.rules = rules
+        self.bucket = bucket_of("product_id", buckets)
+        empty = spark.createDataFrame([], schemas.INVENTORY_EVENT)
+        schema = self._placed(inventory.stock_changes(empty)).schema
+        self.changes = Snapshot(
+            spark, self.path("changes"), schema, "bucket", lambda rows: self._placed(inventory.fold_changes(rows)), every
+        )
+
+    def _placed(self, changes: DataFrame) -> DataFrame:
+        return changes.withColumn("bucket", self.bucket)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def on_batch(self, events: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(inventory.stock_changes(events), self.path("changes"), batch_id)
+        self.changes.add(self._placed(inventory.stock_changes(events)), batch_id)
 
     def start(self, bodies: DataFrame, available_now: bool = True) -> list[StreamingQuery]:
         events = stock_stream(bodies)
@@ -59,6 +75,5 @@ class StockJob:
         return self.spark.read.parquet(self.path("quarantine"))
 
     def stock(self) -> DataFrame:
-        """Current stock per product over all batches."""
-        changes = self.spark.read.option("basePath", self.path("changes")).parquet(self.path("changes"))
-        return inventory.stock_view(changes)
+        """Current stock per product over all batches: the newest version and the batches after it."""
+        return inventory.stock_view(self.changes.read())

@@ -53,10 +53,14 @@ def read_parts(spark: SparkSession, path: str, schema: str, days: Iterable[dt.da
     return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
-def _matching(spark: SparkSession, pattern: str) -> list[str]:
+def matching(spark: SparkSession, pattern: str) -> list:
+    """The file system's status of each path that matches."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
+    return list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
+
+
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    return [status.getPath().toString() for status in matching(spark, pattern)]
 
 
 def arrived_once(stream: DataFrame, keys: list[str], within: str) -> DataFrame:

@@ -22,9 +22,8 @@ from marketlake.config import FraudRules, VelocityRules
 from marketlake.functions.numeric import UNIT, units
 from marketlake.functions.timefn import micros
 from marketlake.operators import fraud
-from marketlake.operators.upsert import latest
-from marketlake.streaming import sinks
-from marketlake.streaming.orders import DECISION_SCHEMA, scored_stream
+from marketlake.streaming.orders import DECISION_SCHEMA, last_decisions, scored_stream
+from marketlake.streaming.snapshots import Snapshot, bucket_of
 
 #: Time after which an untouched slot expires: the longest window and as much again for late orders.
 RETENTION_S = 2 * 86_400
@@ -162,15 +161,19 @@ def decided_orders(scored: DataFrame, rules: VelocityRules = VelocityRules(), re
 
 
 class StateDecisionJob:
-    """Decides on flagged orders by keyed state alone and writes each batch's decisions below one folder."""
+    """Decides on flagged orders by keyed state alone and keeps the last decision on each below one folder."""
 
-    def __init__(self, spark: SparkSession, root: str, velocity: VelocityRules = VelocityRules(), retention_s: int = RETENTION_S, part: int = PART):
+    def __init__(
+        self, spark: SparkSession, root: str, velocity: VelocityRules = VelocityRules(), retention_s: int = RETENTION_S,
+        part: int = PART, buckets: int = 16, every: int = 16,
+    ):
         self.spark, self.root, self.velocity, self.retention_s, self.part = spark, root, velocity, retention_s, part
+        self.buckets = buckets
+        self.decided = Snapshot(spark, f"{root}/fraud_decisions", DECISION_SCHEMA, "bucket", last_decisions, every)
 
     def on_batch(self, decided: DataFrame, batch_id: int) -> None:
-        rows = decided.withColumns({"fraud_reviewed_at": F.current_timestamp(), "batch_id": F.lit(batch_id)})
-        names = [c.split()[0] for c in DECISION_SCHEMA.split(", ")]
-        sinks.write_batch(rows.select(*names).drop("batch_id"), f"{self.root}/fraud_decisions", batch_id)
+        stamps = {"fraud_reviewed_at": F.current_timestamp(), "batch_id": F.lit(batch_id), "bucket": bucket_of("order_id", self.buckets)}
+        self.decided.add(decided.withColumns(stamps), batch_id)
 
     def start(self, bodies: DataFrame, rules: FraudRules = FraudRules(), available_now: bool = True) -> StreamingQuery:
         decided = decided_orders(scored_stream(bodies, rules), self.velocity, self.retention_s, self.part)
@@ -186,4 +189,4 @@ class StateDecisionJob:
 
     def decisions(self) -> DataFrame:
         """The last decision on every flagged order."""
-        return latest(sinks.read_log(self.spark, f"{self.root}/fraud_decisions", DECISION_SCHEMA), ["order_id"], "batch_id")
+        return self.decided.read()
