@@ -444,6 +444,25 @@ FROM products_m p FULL JOIN latest_m l ON p.product_id = l.product_id""",
     "r2_als_factors": f"""WITH {INTERACTIONS}
 SELECT 'customer' AS kind, count(DISTINCT customer_id) AS n, 64 AS length FROM inter_m
 UNION ALL SELECT 'product', count(DISTINCT product_id), 64 FROM inter_m""",
+    "r2_held_out_measures": f"""WITH days_m AS (
+  SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
+counted_m AS (SELECT d, coalesce(sum(n) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS n_all FROM days_m),
+cut_m AS (SELECT coalesce(min(d) FILTER (before >= 0.8e0 * n_all), max(d)) AS cut FROM counted_m),
+pairs_m AS (
+  SELECT o_custkey AS customer_id, l_partkey AS product_id, min(CAST(o_orderdate AS DATE)) AS first
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
+early_m AS (SELECT * FROM pairs_m, cut_m WHERE first < cut),
+late_m AS (SELECT * FROM pairs_m, cut_m WHERE first >= cut),
+{ranked(20, "WHERE NOT EXISTS (SELECT 1 FROM early_m e WHERE e.customer_id = u.vec_id AND e.product_id = i.vec_id)")},
+each_m AS (
+  SELECT l.customer_id, count(*) AS pairs, count(rank) AS hits, sum(rank) AS ranks, min(rank) AS best
+  FROM late_m l LEFT JOIN ranked r ON r.customer_id = l.customer_id AND r.product_id = l.product_id GROUP BY 1),
+total_m AS (
+  SELECT CAST(coalesce(sum(pairs), 0) AS BIGINT) AS pairs, count(*) AS customers, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits,
+    CAST(sum(ranks) AS DOUBLE) AS ranks, count(best) AS with_hit, avg(coalesce(1e0 / best, 0e0)) AS mrr FROM each_m)
+SELECT pairs, customers, hits, {r('CAST(hits AS DOUBLE) / nullif(pairs, 0)', 6)} AS recall,
+  {r('CAST(with_hit AS DOUBLE) / nullif(customers, 0)', 6)} AS hit_rate, {r('ranks / nullif(hits, 0)', 6)} AS mean_rank,
+  {r('mrr', 6)} AS mean_reciprocal_rank FROM total_m""",
     "r4_o5_personal_scores": f"""WITH {ranked(40)}
 SELECT customer_id, product_id, {r('score', 6)} AS score, CAST(rank AS INTEGER) AS rank FROM ranked""",
     "r5_o6_popular_items": f"SELECT vec_id AS product_id, {r(NORM, 6)} AS score FROM embeddings ORDER BY {NORM} DESC, vec_id LIMIT 200",

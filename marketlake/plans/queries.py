@@ -19,6 +19,7 @@ from marketlake.operators import (
     clean,
     curated,
     display,
+    evaluation,
     fraud,
     inventory,
     recommend,
@@ -513,6 +514,15 @@ def als_factors(spark: SparkSession, d: str) -> DataFrame:
     return summary(factors.users, "customer").unionByName(summary(factors.items, "product"))
 
 
+def held_out_measures(spark: SparkSession, d: str) -> DataFrame:
+    """The stored factors' 20 best new products, against what customers bought first in the last fifth of the purchases."""
+    bought = lake.stored(t.order_items(spark, d, categories=False).select("customer_id", "product_id", "order_date"), "purchases")
+    seen, held_out = evaluation.split_pairs(bought, evaluation.split_day(bought))
+    found = evaluation.evaluate(t.user_factors(spark, d), t.item_factors(spark, d), seen, held_out)
+    rounded = {c: round_half_up(F.col(c), 6) for c in ("recall", "hit_rate", "mean_rank", "mean_reciprocal_rank")}
+    return found.withColumns(rounded)
+
+
 def personal_scores(spark: SparkSession, d: str) -> DataFrame:
     top = scoring.top_scores(t.user_factors(spark, d), t.item_factors(spark, d), 40)
     return top.select("customer_id", "product_id", round_half_up(F.col("score"), 6).alias("score"), "rank")
@@ -706,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "t10_metric_series": metric_series,
     "r1_dense_ids": dense_ids,
     "r2_als_factors": als_factors,
+    "r2_held_out_measures": held_out_measures,
     "r4_o5_personal_scores": personal_scores,
     "r5_o6_popular_items": popular_items,
     "r6_category_rows": category_rows,

@@ -1,5 +1,6 @@
 """Scoring, request handling, lists, display and training."""
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.config import AlsParams, RecoRules
-from marketlake.operators import display, recommend, scoring, training
+from marketlake.operators import display, evaluation, recommend, scoring, training
 
 USERS = "customer_id string, factors array<float>"
 ITEMS = "product_id string, factors array<float>"
@@ -207,3 +208,39 @@ def test_als_prefers_the_planted_group_and_is_repeatable(spark, tmp_path):
     assert not {(r.customer_id, r.product_id) for r in unseen} & pairs
     again = {r.customer_id: r.factors for r in training.fit_factors(spark, inter, params).users.collect()}
     assert again == {r.customer_id: r.factors for r in loaded.users.collect()}
+
+
+def test_als_foresees_held_out_purchases_better_than_random_factors(spark):
+    """Customers of two groups buy their group's products; each one's last purchases are held out."""
+    rng = random.Random(4)
+    bought = []
+    for g in range(2):
+        for i in range(20):
+            for at, p in enumerate(rng.sample(range(12), 8)):
+                bought.append((f"c{g}{i}", f"p{g}{p}", dt.date(2024, 1, 1 + at)))
+    frame = spark.createDataFrame(bought, "customer_id string, product_id string, order_date date")
+    cutoff = evaluation.split_day(frame, share=0.75)
+    assert cutoff == dt.date(2024, 1, 7)
+    seen, held_out = evaluation.split_pairs(frame, cutoff)
+    assert (seen.count(), held_out.count()) == (240, 80)
+    factors = training.fit_factors(spark, seen.withColumn("implicit_rating", F.lit(1.0)), AlsParams(rank=4, max_iter=8))
+    fitted = evaluation.evaluate(factors.users, factors.items, seen, held_out, 6).first()
+    noise = np.random.default_rng(1)
+
+    def shuffled(df, key):
+        return spark.createDataFrame([(r[0], noise.normal(size=4).tolist()) for r in df.select(key).collect()], f"{key} string, factors array<double>")
+
+    chance = evaluation.evaluate(shuffled(factors.users, "customer_id"), shuffled(factors.items, "product_id"), seen, held_out, 6).first()
+    expected = 6 / 18  # six of the eighteen products that a customer has not bought
+    assert fitted.recall > 2 * expected and chance.recall < 1.5 * expected
+    assert fitted.mean_reciprocal_rank > chance.mean_reciprocal_rank
+
+
+def test_ranking_measures_by_hand(spark):
+    top = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 1)], "customer_id string, product_id int, rank int")
+    held = spark.createDataFrame([("a", 2), ("a", 9), ("b", 5), ("unknown", 1)], "customer_id string, product_id int")
+    got = evaluation.ranking_measures(top, held).first().asDict()
+    assert got == {"pairs": 4, "customers": 3, "hits": 1, "recall": 0.25, "hit_rate": 1 / 3, "mean_rank": 2.0, "mean_reciprocal_rank": 0.5 / 3}
+    empty = evaluation.ranking_measures(top, held.limit(0)).first()
+    assert (empty.pairs, empty.hits, empty.recall, empty.mean_rank) == (0, 0, None, None)
+    assert evaluation.split_day(spark.createDataFrame([], "order_date date")) is None
