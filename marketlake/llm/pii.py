@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +46,8 @@ REACH = 48
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DIGIT = re.compile(r"[0-9]")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match begins where a run of digits does and takes whole runs, so no run is read again from its middle.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
@@ -123,13 +126,15 @@ def all_spans(text: str, least: float) -> list[tuple[str, int, int, float]]:
     base = base_spans(text)
     out = [(kind, s, e, _score(text, kind, s, e, kind == "card")) for kind, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
+    starts, reached = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     if not DIGIT.search(text):
         return out
     proposed = [("iban", *s) for s in ibans(text)]
     proposed += [(kind, *m.span()) for kind, pattern in zip(ADDED[1:], (SSN, LOCAL_PHONE), strict=True) for m in pattern.finditer(text)]
     for kind, start, end in proposed:
         score = _score(text, kind, start, end, kind == "iban")
-        if score >= least and not any(s < end and start < e for s, e in taken):
+        before = bisect_left(starts, end)
+        if score >= least and not (before and reached[before - 1] > start):
             out.append((kind, start, end, score))
     return out
 
