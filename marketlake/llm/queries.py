@@ -33,14 +33,16 @@ def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    """Captures are the pages, fetched at a second of one month that follows from page_id; each event with the id
-    of a page changes a list at its time: an add for three of the five event types, else a removal.
+    """Captures are the pages, fetched at a second of one month that follows from page_id; every event
+    changes a list at its time, an add for three of the five event types, else a removal, by the page whose number
+    (ids are 0 to n - 1) follows from event_id.
     """
     pages = table(spark, folder, "pages").select("page_id", "url")
     fetched = "timestampadd(SECOND, cast(pmod(page_id * 7919, 2592000) as int), timestamp_ntz'2024-01-01 00:00:00')"
     captures = pages.withColumn("fetched_at", F.expr(fetched))
     events = table(spark, folder, "events").select("event_id", "ts", "event_type")
-    dated = events.join(pages, F.col("event_id") == F.col("page_id"))
+    number = F.pmod(F.col("event_id") * 7919, F.lit(max(pages.count(), 1)))
+    dated = events.withColumn("page_id", number).join(pages, "page_id")
     name = url_filters.host()
     kind = F.element_at(F.array(F.lit("host"), F.lit("domain"), F.lit("path")), (F.col("page_id") % 3 + 1).cast("int"))
     changes = dated.select(
@@ -121,7 +123,7 @@ ORACLE: dict[str, str] = {
                 CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]*\.', '') ELSE concat_ws('/', host, step) END AS pattern,
                 ts AS changed,
                 max(CASE WHEN event_type IN ('signup', 'purchase', 'error') THEN 'add' ELSE 'remove' END) AS action
-            FROM events JOIN named ON event_id = page_id WHERE ts IS NOT NULL GROUP BY 1, 2, 3, 4
+            FROM events JOIN named ON (event_id * 7919) % (SELECT count(*) FROM pages) = page_id WHERE ts IS NOT NULL GROUP BY 1, 2, 3, 4
         ),
         valid AS (
             SELECT *, lead(changed) OVER (PARTITION BY list, kind, pattern ORDER BY changed) AS until FROM changes

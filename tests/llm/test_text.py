@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import re
+import time
 from datetime import datetime
 
 import brute
 import pytest
 
-from marketlake.llm import fingerprints, html_text, lm_scoring, url_filters
+from marketlake.llm import fingerprints, html_text, lm_scoring, pii, url_filters
 
 DOCS = "doc_id long, text string, row long, word string"
 
@@ -223,3 +225,21 @@ def test_last_gate_hears_all_words(spark):
 
     base = gates([2] * 40)
     assert all(gates([2 + (j == k) for j in range(40)]) != base for k in range(40))
+
+
+def test_long_runs_take_linear_time():
+    """A megabyte of digits, dots or phone-like text, and many spans, in seconds."""
+    begun = time.monotonic()
+    for text in ("7" * 1_000_000, "1." * 500_000, "+1 " * 300_000, "1-" * 500_000, "A1" * 500_000, "a@" * 300_000):
+        pii.all_spans(text, 0.6)
+    many = "tel 415-555-0100, ip 10.0.0.1; " * 20_000
+    assert len(pii.all_spans(many, 0.6)) == 40_000
+    assert time.monotonic() - begun < 30
+
+
+def test_ip_matches_equal_the_plain_pattern():
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rng.choice("0123..  a") for _ in range(rng.randrange(30)))
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in plain.finditer(text)]
