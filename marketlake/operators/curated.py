@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.config import ClvRules
@@ -37,13 +37,16 @@ def daily_kpis(orders: DataFrame, flag_at: float = 0.5) -> DataFrame:
     )
 
 
+def clv_segment(spend: Column, rules: ClvRules = ClvRules()) -> Column:
+    return F.when(spend > rules.high_above, "high").when(spend > rules.medium_above, "medium").otherwise("low")
+
+
 def customer_clv(orders: DataFrame, rules: ClvRules = ClvRules()) -> DataFrame:
     """Lifetime value per customer over confirmed orders.
 
     Spark spreads the distinct day count over (customer, day) before it joins a customer's
     partial rows, so one very large customer is not gathered in a single task.
     """
-    spend = F.col("total_spend")
     return (
         confirmed(orders)
         .groupBy("customer_id")
@@ -55,10 +58,7 @@ def customer_clv(orders: DataFrame, rules: ClvRules = ClvRules()) -> DataFrame:
             F.max("created_at").alias("last_order"),
             F.count_distinct("order_date").alias("active_days"),
         )
-        .withColumn(
-            "clv_segment",
-            F.when(spend > rules.high_above, "high").when(spend > rules.medium_above, "medium").otherwise("low"),
-        )
+        .withColumn("clv_segment", clv_segment(F.col("total_spend"), rules))
     )
 
 
