@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake import schemas
 from marketlake.functions.numeric import finite
@@ -27,6 +28,7 @@ from marketlake.streaming.snapshots import Snapshot, bucket_of
 
 KPIS = "daily_kpis"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+MONTH = "month"
 Day = dt.date | None
 
 
@@ -34,6 +36,10 @@ def _folder_name(day: Day) -> str:
     return NO_DAY if day is None else day.isoformat()
 
 
+def _month(day: str) -> str:
+    return day if day == NO_DAY else day[:7]
+
+
 def on_days(days: Iterable[Day]) -> Column:
     """Rows of some days, with literals so that other days are not listed or read."""
     dated = [d for d in days if d is not None]
@@ -64,21 +70,18 @@ class LakeRuns:
             return []
         days = self._ingest(raw, run)
         if days:
-            self.curate(days, run)
+            self.curate(zones.read_parquet(self.spark, f"{self._staged(run)}/rows"), days, run)
         return days
 
-    def curate(self, days: list[Day], run: int) -> None:
-        """Make the curated tables follow some days of the processed orders that have changed."""
+    def curate(self, orders: DataFrame, days: list[Day], run: int) -> None:
+        """Make the curated tables follow some days that have changed; `orders` are all processed orders of these days."""
         if self._finished(run):
             return
         latest = self._latest()
         self._drop_superseded(latest)
-        path = self.lake.processed("orders")
-        orders = zones.read_parquet(self.spark, path).filter(on_days(days)) if self._exists(path) else None
-        if orders is not None:
-            self._write_partials(KPIS, curated.daily_kpis(orders), run)
-            for name in PARTS:
-                self._fold(name, orders, days, run, latest)
+        self._write_partials(KPIS, curated.daily_kpis(orders), run)
+        for name in PARTS:
+            self._fold(name, orders, days, run, latest)
         noted = self.spark.createDataFrame([(_folder_name(d), run, 0) for d in days], self.done.schema)
         self.done.add(noted, run)
         self._delete(self._staged(run))
@@ -160,23 +163,31 @@ class LakeRuns:
         )
 
     def _write_partials(self, name: str, rows: DataFrame, run: int) -> None:
-        rows.hint("rebalance", F.col(DAY)).write.mode("overwrite").partitionBy(DAY).parquet(self._run_folder(name, run))
+        """A run's partials, in folders by month: days alone would be too many small files."""
+        dated = rows.withColumn(MONTH, F.date_format(DAY, "yyyy-MM")).hint("rebalance", F.col(MONTH))
+        dated.write.mode("overwrite").partitionBy(MONTH).parquet(self._run_folder(name, run))
 
     def _run_folder(self, name: str, run: int | str) -> str:
         return f"{self.lake.root}/partials/{name}/run={run}"
 
     def _partials(self, name: str, runs: dict[str, int]) -> DataFrame:
         """The partials of some days, each from the run that made it last."""
-        path = f"{self.lake.root}/partials/{name}"
-        found = []
-        for run in sorted(set(runs.values())):
-            for status in matching(self.spark, f"{path}/run={run}/{DAY}=*"):
-                if runs.get(status.getPath().getName().split("=", 1)[1]) == run:
-                    found.append(status.getPath().toString())
         schema = self._partial_schema(name)
+        wanted = {(run, _month(day)) for day, run in runs.items()}
+        found = [folder for folder, run, month in self._partial_folders(name) if (run, month) in wanted]
         if not found:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", path).parquet(*found).select(*schema.names)
+        typed = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
+        rows = self.spark.read.schema(typed).option("basePath", f"{self.lake.root}/partials/{name}").parquet(*found)
+        # one row a day, so its size is bounded by the calendar
+        current = self.spark.createDataFrame(list(runs.items()), "_day string, run bigint")
+        day = F.coalesce(F.col(DAY).cast("string"), F.lit(NO_DAY))
+        return rows.withColumn("_day", day).join(F.broadcast(current), ["_day", "run"], "left_semi").select(*schema.names)
+
+    def _partial_folders(self, name: str) -> list[tuple[str, int, str]]:
+        """(folder, run, month) of what is stored."""
+        paths = [status.getPath() for status in matching(self.spark, f"{self._run_folder(name, '*')}/{MONTH}=*")]
+        return [(p.toString(), int(p.getParent().getName().split("=")[1]), p.getName().split("=", 1)[1]) for p in paths]
 
     def _partial_schema(self, name: str):
         """The columns of a table's partials, from its plan over no orders."""
@@ -192,13 +203,13 @@ class LakeRuns:
         return any(r >= run for r in self._latest().values())
 
     def _drop_superseded(self, latest: dict[str, int]) -> None:
-        """Delete partials that a finished run has replaced; nothing reads them any more."""
+        """Delete months of partials that later finished runs have replaced as a whole; nothing reads them any more."""
         last = max(latest.values(), default=-1)
+        live = {(run, _month(day)) for day, run in latest.items()}
         for name in (KPIS, *PARTS):
-            for status in matching(self.spark, f"{self._run_folder(name, '*')}/{DAY}=*"):
-                day, run = status.getPath().getName().split("=", 1)[1], int(status.getPath().getParent().getName().split("=")[1])
-                if run <= last and latest.get(day) != run:
-                    self._delete(status.getPath().toString())
+            for folder, run, month in self._partial_folders(name):
+                if run <= last and (run, month) not in live:
+                    self._delete(folder)
 
     def _exists(self, path: str) -> bool:
         return bool(matching(self.spark, path))

@@ -45,7 +45,7 @@ def _written_text(bodies: DataFrame, name: str) -> str:
     return path
 
 
-def _order_bodies(spark: SparkSession, d: str, copies: int = 1) -> DataFrame:
+def order_bodies(spark: SparkSession, d: str, copies: int = 1) -> DataFrame:
     """Order events as JSON text: items, tier, address and suspicion flag from the tables."""
     item = F.struct(
         F.col("product_id").cast("string").alias("product_id"), "category", "quantity", "unit_price",
@@ -70,7 +70,7 @@ def _order_bodies(spark: SparkSession, d: str, copies: int = 1) -> DataFrame:
     return scored.select(F.explode(F.array_repeat(F.to_json(event), copies)).alias("body"))
 
 
-def _click_bodies(spark: SparkSession, d: str) -> DataFrame:
+def click_bodies(spark: SparkSession, d: str) -> DataFrame:
     event = F.struct(
         F.lit("PAGE_VIEW").alias("event_type"),
         F.col("event_id").cast("string").alias("event_id"),
@@ -102,7 +102,7 @@ def _stock_bodies(spark: SparkSession, d: str) -> DataFrame:
 
 def ndjson_scan(spark: SparkSession, d: str) -> DataFrame:
     """Raw orders as NDJSON, scanned with the raw schema."""
-    path = _written_text(_order_bodies(spark, d), "raw-orders")
+    path = _written_text(order_bodies(spark, d), "raw-orders")
     raw = zones.read_ndjson(spark, path, schemas.RAW_ORDER)
     return raw.select(
         F.col("order_id").cast("bigint").alias("order_id"),
@@ -116,7 +116,7 @@ def ndjson_scan(spark: SparkSession, d: str) -> DataFrame:
 def click_scan(spark: SparkSession, d: str) -> DataFrame:
     """Raw clicks as NDJSON in nested folders, scanned recursively."""
     root = working_path(spark, "raw-clicks")
-    bodies = _click_bodies(spark, d)
+    bodies = click_bodies(spark, d)
     bodies.write.text(f"{root}/2024/all")
     zones.read_ndjson(spark, root, schemas.CLICK_EVENT).createOrReplaceTempView("raw_clicks")
     return spark.sql("SELECT CAST(event_id AS BIGINT) AS event_id, action, duration_ms, customer_id FROM raw_clicks")
@@ -180,8 +180,8 @@ def _built_lake(spark: SparkSession, d: str) -> zones.Lake:
 
 def _build_lake(spark: SparkSession, d: str) -> zones.Lake:
     lake = zones.Lake(working_path(spark, "lake"))
-    _order_bodies(spark, d, copies=2).write.text(lake.raw("orders"))
-    _click_bodies(spark, d).write.text(lake.raw("clickstream"))
+    order_bodies(spark, d, copies=2).write.text(lake.raw("orders"))
+    click_bodies(spark, d).write.text(lake.raw("clickstream"))
     batch_job.run(spark, lake)
     return lake
 
@@ -264,7 +264,7 @@ def _order_job(spark: SparkSession, d: str) -> order_jobs.OrderJob:
 
 def _run_orders(spark: SparkSession, d: str) -> order_jobs.OrderJob:
     """Orders, each delivered twice, in several files and batches out of time order, run through the order stream."""
-    path = _shuffled_text(_order_bodies(spark, d, copies=2), "order-messages")
+    path = _shuffled_text(order_bodies(spark, d, copies=2), "order-messages")
     job = order_jobs.OrderJob(spark, working_path(spark, "order-job"), VelocityRules(max_spend=1000.0), log_by="month", every=2)
     sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job
@@ -292,7 +292,7 @@ def decision_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def state_decisions(spark: SparkSession, d: str) -> DataFrame:
     """The decisions of the order stream by keyed state: each order delivered twice, in several files out of time order."""
-    path = _shuffled_text(_order_bodies(spark, d, copies=2), "order-messages")
+    path = _shuffled_text(order_bodies(spark, d, copies=2), "order-messages")
     job = StateDecisionJob(spark, working_path(spark, "state-job"), VelocityRules(max_spend=1000.0))
     job.start(messages.message_stream(spark, path, files_per_batch=2)).awaitTermination()
     return job.decisions().select(
@@ -312,7 +312,7 @@ def order_event_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enriched_click_stream(spark: SparkSession, d: str) -> DataFrame:
-    path = _written_text(_click_bodies(spark, d), "click-messages")
+    path = _written_text(click_bodies(spark, d), "click-messages")
     out = working_path(spark, "enriched")
     stream = click_jobs.click_stream(messages.message_stream(spark, path))
     click_jobs.start_enriched(stream, f"{out}/clicks", f"{out}/checkpoint").awaitTermination()
@@ -325,7 +325,7 @@ def enriched_click_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
     """Clicks delivered twice, deduplicated on the stream."""
-    twice = _click_bodies(spark, d).select(F.explode(F.array_repeat("body", 2)).alias("body"))
+    twice = click_bodies(spark, d).select(F.explode(F.array_repeat("body", 2)).alias("body"))
     path = _shuffled_text(twice, "click-messages")
     out = working_path(spark, "unique")
     stream = click_jobs.unique_clicks(click_jobs.click_stream(messages.message_stream(spark, path, files_per_batch=2)))
@@ -337,7 +337,7 @@ def unique_click_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def session_stream(spark: SparkSession, d: str) -> DataFrame:
     """All sessions after the last of several batches out of time order."""
-    path = _shuffled_text(_click_bodies(spark, d), "click-messages")
+    path = _shuffled_text(click_bodies(spark, d), "click-messages")
     job = click_jobs.ClickJob(spark, working_path(spark, "click-job"), every=1)
     sinks.run_now(job.start(messages.message_stream(spark, path, files_per_batch=2)))
     return job.sessions().select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from marketlake.plans.lake_reports import SAME_AS
+
 
 def r(x: str, dp: int = 2) -> str:
     s = f"{10**dp}e0"
@@ -565,3 +567,6 @@ ORACLE["t7_session_stream"] = ORACLE["t8_click_sessions"]
 ORACLE["t10_alarm_stream"] = ORACLE["t10_backlog_alarms"]
 ORACLE["t9_stock_level_stream"] = ORACLE["t9_latest_stock"]
 ORACLE["t9_stock_alert_stream"] = ORACLE["t9_stock_alerts"]
+
+# A lake built by runs, and reports on its views, must give what the tables give.
+ORACLE.update({name: ORACLE[same] for name, same in SAME_AS.items()})

@@ -29,7 +29,7 @@ from marketlake.operators import (
     upsert,
     velocity,
 )
-from marketlake.plans import lake_queries, reports
+from marketlake.plans import lake_queries, lake_reports, reports
 from marketlake.sources import lake
 from marketlake.sources import tables as t
 
@@ -741,4 +741,5 @@ QUERIES: dict[str, Query] = {
     "q10_hourly_orders": report_hourly,
     "q11_clv_segments": report_segments,
     **lake_queries.QUERIES,
+    **lake_reports.QUERIES,
 }

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from marketlake.operators import clean
 from marketlake.plans import reports
 from marketlake.plans.lake_queries import QUERIES as LAKE_QUERIES
+from marketlake.plans.lake_reports import QUERIES as LAKE_REPORTS
 from marketlake.plans.queries import QUERIES
 from marketlake.sources import tables as t
 
 # These write files or fit a model when called, or score with numpy inside tasks.
-EAGER = {*LAKE_QUERIES, "r2_als_factors"}
+EAGER = {*LAKE_QUERIES, *LAKE_REPORTS, "r2_als_factors"}
 NUMPY = {
     "a14_list_summary", "j8_scored_with_metadata", "j9_unseen_scores", "r4_o5_personal_scores", "r6_category_rows", "r9_fallback_rows",
     "r11_bulk_lists", "r12_w4_recommendations", "r13_w7_display_rows",
