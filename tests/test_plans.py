@@ -14,7 +14,7 @@ from marketlake.sources import tables as t
 EAGER = {*LAKE_QUERIES, *LAKE_REPORTS, "r2_als_factors"}
 NUMPY = {
     "a14_list_summary", "j8_scored_with_metadata", "j9_unseen_scores", "r4_o5_personal_scores", "r6_category_rows", "r9_fallback_rows",
-    "r11_bulk_lists", "r12_w4_recommendations", "r13_w7_display_rows",
+    "r11_bulk_lists", "r2_held_out_measures", "r12_w4_recommendations", "r13_w7_display_rows",
 }
 
 
