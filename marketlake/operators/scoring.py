@@ -161,7 +161,9 @@ def top_scores(
     more = [c for c in metadata.columns if c != "product_id"]
     salt, every = _salted("_salt", "customer_id")
     salted = top.select("*", salt)
-    return salted.join(metadata.select("*", every), ["product_id", "_salt"], "left").select("customer_id", *carried, *more, "score", "rank")
+    # Only the model's products are copied, and merged: the estimate that would choose a broadcast knows nothing of the copies.
+    known = metadata.join(items.select("product_id"), "product_id", "left_semi").select("product_id", *more, every).hint("merge")
+    return salted.join(known, ["product_id", "_salt"], "left").select("customer_id", *carried, *more, "score", "rank")
 
 
 def _wanted(group: list[tuple[int, float]], reached: Callable) -> Column:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
@@ -166,6 +167,20 @@ def test_equal_norms_prune_nothing_and_lose_nothing(spark):
     assert got == {("u", 1): "i00", ("u", 2): "i44", ("none", 1): "i00", ("none", 2): "i01"}
 
 
+def test_copies_of_metadata_are_not_broadcast(spark, tmp_path):
+    """A table that looks small before it is copied for each salt; products outside the model are not copied at all."""
+    users = spark.createDataFrame([(u, [1.0, float(u)]) for u in range(6)], "customer_id bigint, factors array<double>")
+    items = spark.createDataFrame([(p, [1.0, float(p)]) for p in range(4)], "product_id bigint, factors array<double>")
+    spark.createDataFrame([(p, f"c{p}") for p in (*range(3), *range(100, 140))], "product_id bigint, category string").write.parquet(str(tmp_path / "m"))
+    metadata = spark.read.parquet(str(tmp_path / "m"))
+    out = scoring.top_scores(users, items, 2, metadata=metadata)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[product_id#\d+L?, _salt", text)
+    assert not re.search(r"Broadcast\w+ \[product_id#\d+L?, _salt", text)
+    assert {(r.customer_id, r.rank, r.product_id, r.category) for r in out.filter("customer_id = 5").collect()} == {(5, 1, 3, None), (5, 2, 2, "c2")}
+    assert "LeftSemi" in text
+
+
 def test_model_is_absent(spark):
     """Empty factor tables: no scores, and every request gets the catalogue."""
     assert scoring.top_scores(spark.createDataFrame([], USERS), spark.createDataFrame([], ITEMS), 3).count() == 0
