@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -225,6 +226,26 @@ def test_als_prefers_the_planted_group_and_is_repeatable(spark, tmp_path):
     assert again == {r.customer_id: r.factors for r in loaded.users.collect()}
 
 
+def test_shuffles_of_a_fit_do_not_grow_with_its_iterations(spark):
+    """Files of finished iterations are deleted; those of the last ones stay as long as the factors are in use."""
+    pairs = [(f"c{i}", f"p{(i * k) % 23}", 1.0) for i in range(30) for k in range(1, 5)]
+    inter = spark.createDataFrame(pairs, "customer_id string, product_id string, implicit_rating double")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left(iterations):
+        before = blocks.getAllFiles().size()
+        factors = training.fit_factors(spark, inter, AlsParams(rank=2, max_iter=iterations))
+        sizes = []
+        for _ in range(12):                                 # deletion goes on beside the fit
+            sizes.append(blocks.getAllFiles().size())
+            time.sleep(0.5)
+        assert factors.users.count() == 30
+        return min(sizes) - before
+
+    few = left(2)
+    assert left(12) <= few + 60
+
+
 def test_als_foresees_held_out_purchases_better_than_random_factors(spark):
     """Customers of two groups buy their group's products; each one's last purchases are held out."""
     rng = random.Random(4)
