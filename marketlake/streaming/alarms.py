@@ -36,7 +36,8 @@ class AlarmJob:
 
     def on_batch(self, metrics: DataFrame, batch_id: int) -> None:
         path = self.path("series")
-        sinks.write_parts(metric_parts(metrics, self.rule.period_s), path, batch_id, F.to_date("window_start"))
+        added = sinks.rebalancing(self.spark, metric_parts(metrics, self.rule.period_s), self.path(f"series{sinks.STAGED}"))
+        sinks.write_parts(added, path, batch_id, F.to_date("window_start"))
         days = sinks.parts_of(self.spark, path, batch_id)
         reach = -(-self.reach // dt.timedelta(days=1))
         near = {d + dt.timedelta(days=k) for d in days for k in range(-reach, reach + 1)}
