@@ -110,7 +110,7 @@ class LakeRuns:
             merged, touched = new, None
             if self._exists(path):
                 stored = zones.read_parquet(self.spark, path)
-                fresh = zones.stored(clean.clean_orders(new).select("order_id", DAY), f"run-{run}-ids")
+                fresh = zones.stored(clean.order_days(new), f"run-{run}-ids")
                 near = seen(stored.select("order_id", DAY), fresh, ("order_id",), MOST_BITS)
                 copies = near.join(fresh.select("order_id"), "order_id", "left_semi").select(DAY)
                 touched = zones.stored(fresh.select(DAY).union(copies).distinct(), f"run-{run}-days")
@@ -144,9 +144,11 @@ class LakeRuns:
         old = self._partials(name, {d: r for d, r in latest.items() if d in changed})
         now = latest | {d: run for d in changed}
         new = self._partials(name, {d: run for d in changed})
-        delta = zones.stored(part.delta(old, new, run), f"run-{run}-{name}")
-        if part.span is not None and not delta.filter("full").isEmpty():
-            delta = part.respan(delta, self._partials(name, now))
+        delta = part.delta(old, new, run)
+        if part.span is not None:
+            delta = zones.stored(delta, f"run-{run}-{name}")
+            if not delta.filter("full").isEmpty():
+                delta = part.respan(delta, self._partials(name, now))
         self._state(name).add(delta.withColumn("bucket", self._bucket(name)), run)
 
     def _bucket(self, name: str) -> Column:

@@ -15,6 +15,7 @@ from marketlake.plans.incremental import LakeRuns
 from marketlake.plans.lake_queries import click_bodies, once, order_bodies
 from marketlake.session import working_path
 from marketlake.sources import lake as zones
+from marketlake.sources import tables as t
 
 RUNS = 3
 
@@ -23,13 +24,14 @@ def _raw_orders_by_run(spark: SparkSession, d: str, path: str) -> None:
     """Order events in folders run=0, 1, ... by time; those of one day a month come again a run later."""
     bodies = order_bodies(spark, d)
     day = F.unix_date(F.to_date(F.substring(F.get_json_object("body", "$.created_at"), 1, 10)))
-    dated = zones.stored(bodies.select("body", day.alias("day")), "order-messages")
-    ends = dated.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    dated = bodies.select("body", day.alias("day"))
+    ordered = t.orders(spark, d).select(F.unix_date(F.to_date("created_at")).alias("day"))
+    ends = ordered.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
     length = (ends["last"] - ends["first"]) // RUNS + 1 if ends["first"] is not None else 1
     run = F.floor((F.col("day") - F.lit(ends["first"] or 0)) / F.lit(length))
     again = F.when((F.dayofmonth(F.date_from_unix_date("day")) == 15) & (run < RUNS - 1), F.array(run, run + 1))
     split = dated.select("body", F.explode(F.coalesce(again, F.array(run))).alias("run"))
-    split.write.partitionBy("run").text(path)
+    zones.write_ndjson(split, path, "run")
 
 
 def _build(spark: SparkSession, d: str) -> LakeRuns:
@@ -39,7 +41,7 @@ def _build(spark: SparkSession, d: str) -> LakeRuns:
     for run in range(RUNS):
         job.update(f"{lake.raw('orders')}/run={run}", run)
     job.publish()
-    click_bodies(spark, d).write.text(lake.raw("clickstream"))
+    zones.write_ndjson(click_bodies(spark, d), lake.raw("clickstream"))
     clicks = zones.read_ndjson(spark, lake.raw("clickstream"), schemas.CLICK_EVENT)
     zones.write_by_day(clean.clean_clicks(clicks), lake.processed("clickstream"), "event_date")
     return job

@@ -28,6 +28,9 @@ class Lake:
         return f"{self.root}/curated/{name}"
 
 
+#: Messages in one file of the raw zone, at most.
+FILE_ROWS = 20_000
+
 # Zone tables and the names under which SQL finds them.
 VIEWS = {
     "processed_orders": ("processed", "orders"),
@@ -44,6 +47,11 @@ def read_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
 
 
+def write_ndjson(bodies: DataFrame, path: str, *by: str) -> None:
+    """Messages, one a line, as gzip files; a compressed file is read by one task, so long ones are cut."""
+    bodies.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).partitionBy(*by).text(path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
