@@ -46,16 +46,20 @@ class Part:
         sums = [F.coalesce(x(), F.lit(0)).cast("bigint").alias(name) for name, x in self.sums.items()]
         return self.rows(orders).groupBy(*self.keys, DAY).agg(F.count(F.lit(1)).alias("n_rows"), *sums, *ends)
 
-    def delta(self, old: DataFrame, new: DataFrame, run: int) -> DataFrame:
-        """What a run adds to each key: partials of the run's days, after and before. Unchanged keys have no row."""
+    def delta(self, old: DataFrame, new: DataFrame, run: int, *carry: str) -> DataFrame:
+        """What a run adds to each key: partials of the run's days, after and before. Unchanged keys have no row.
+
+        `carry` are columns that follow from the key; the rows are dealt to tasks by them. A key has at most two rows
+        for each day here, so none is hot.
+        """
         before = old.withColumns({c: -F.col(c) for c in self.added}).withColumn("_new", F.lit(False))
-        both = new.withColumn("_new", F.lit(True)).unionByName(before)
+        both = _dealt(new.withColumn("_new", F.lit(True)).unionByName(before), carry)
         sums = [F.sum(c).alias(c) for c in self.added]
         changed = F.greatest(*[F.abs(c) for c in self.added]) > 0
         if self.span is None:
-            return both.groupBy(*self.keys).agg(*sums).filter(changed)
+            return both.groupBy(*self.keys, *carry).agg(*sums).filter(changed)
         kept = F.col("_new")
-        out = both.groupBy(*self.keys).agg(
+        out = both.groupBy(*self.keys, *carry).agg(
             *sums,
             F.min(F.when(kept, F.col("first"))).alias("first"),
             F.max(F.when(kept, F.col("last"))).alias("last"),
@@ -68,7 +72,7 @@ class Part:
             F.lit(False),
         )
         return out.filter(changed | ~same).select(
-            *self.keys, *self.added, "first", "last", lost.alias("full"), F.lit(run).cast("bigint").alias("epoch")
+            *self.keys, *carry, *self.added, "first", "last", lost.alias("full"), F.lit(run).cast("bigint").alias("epoch")
         )
 
     def respan(self, delta: DataFrame, everything: DataFrame) -> DataFrame:
@@ -79,16 +83,18 @@ class Part:
         spans = everything.join(asked, same, "left_semi").groupBy(*self.keys).agg(F.min("first").alias("_first"), F.max("last").alias("_last"))
         spans = spans.select(*[F.col(k).alias(f"_{k}") for k in self.keys], "_first", "_last")
         joined = delta.filter("full").join(spans, same, "left")
-        full = joined.select(*self.keys, *self.added, F.col("_first").alias("first"), F.col("_last").alias("last"), "full", "epoch")
+        kept = [c for c in delta.columns if c not in ("first", "last")]
+        full = joined.select(*kept, F.col("_first").alias("first"), F.col("_last").alias("last"))
         return delta.filter(~F.col("full")).unionByName(full)
 
     def fold(self, rows: DataFrame, *carry: str) -> DataFrame:
-        """Deltas of successive runs as one; a key whose rows are all gone leaves."""
+        """Deltas of successive runs as one; a key whose rows are all gone leaves. `carry` as in `delta`."""
+        rows = _dealt(rows, carry)
         sums = [F.sum(c).alias(c) for c in self.added]
         if self.span is None:
             return rows.groupBy(*self.keys, *carry).agg(*sums).filter("n_rows > 0")
         # a key has at most one row of each run here
-        base = F.max(F.when(F.col("full"), F.col("epoch"))).over(Window.partitionBy(*self.keys))
+        base = F.max(F.when(F.col("full"), F.col("epoch"))).over(Window.partitionBy(*self.keys, *carry))
         valid = F.col("_base").isNull() | (F.col("epoch") >= F.col("_base"))
         return (
             rows.withColumn("_base", base)
@@ -104,6 +110,10 @@ class Part:
         )
 
 
+def _dealt(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return rows.repartition(*by) if by else rows
+
+
 def _total(name: str, count: str) -> Column:
     """A sum kept in units, null if nothing was added."""
     return F.when(F.col(count) > 0, F.col(name) / F.lit(float(UNIT)))

@@ -29,6 +29,9 @@ from marketlake.streaming.snapshots import Snapshot, bucket_of
 KPIS = "daily_kpis"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 MONTH = "month"
+BUCKET, SPLIT = "bucket", "_split"
+#: Groups of keys that a state's rows are dealt in, at least one for each bucket.
+GROUPS = 256
 Day = dt.date | None
 
 
@@ -36,6 +39,11 @@ def _folder_name(day: Day) -> str:
     return NO_DAY if day is None else day.isoformat()
 
 
+def _day_of(folder: str) -> Day:
+    name = folder.split("=", 1)[1]
+    return None if name == NO_DAY else dt.date.fromisoformat(name)
+
+
 def _month(day: str) -> str:
     return day if day == NO_DAY else day[:7]
 
@@ -70,8 +78,8 @@ class LakeRuns:
             return []
         days = self._ingest(raw, run)
         if days:
-            self.curate(zones.read_parquet(self.spark, f"{self._staged(run)}/rows"), days, run)
-        return days
+            self.curate(self._processed(days), list(days), run)
+        return list(days)
 
     def curate(self, orders: DataFrame, days: list[Day], run: int) -> None:
         """Make the curated tables follow some days that have changed; `orders` are all processed orders of these days."""
@@ -98,40 +106,45 @@ class LakeRuns:
 
     # ---- raw to processed ----
 
-    def _ingest(self, raw: str, run: int) -> list[Day]:
-        """Clean new raw orders into the processed zone; returns the days touched.
+    def _ingest(self, raw: str, run: int) -> dict[Day, bool]:
+        """Clean new raw orders into the processed zone; returns the days touched and if they have rows.
 
-        The merged days are staged first, so that a run that breaks off while days are replaced still has their rows.
+        The merged days are staged first, by day, and their folders are moved when all are written: a run that breaks
+        off while days are replaced goes on with those that are left.
         """
         staged, path = self._staged(run), self.lake.processed("orders")
         if not self._exists(f"{staged}/days/_SUCCESS"):
+            self._delete(staged)
             new = zones.read_ndjson(self.spark, raw, schemas.RAW_ORDER)
             new = new.withColumns({c: finite(F.col(c).try_cast("double")) for c in ("total", "fraud_score")})
-            merged, touched = new, None
+            merged, touched = new, []
             if self._exists(path):
                 stored = zones.read_parquet(self.spark, path)
                 fresh = zones.stored(clean.order_days(new), f"run-{run}-ids")
                 near = seen(stored.select("order_id", DAY), fresh, ("order_id",), MOST_BITS)
                 copies = near.join(fresh.select("order_id"), "order_id", "left_semi").select(DAY)
-                touched = zones.stored(fresh.select(DAY).union(copies).distinct(), f"run-{run}-days")
-                held = [r[0] for r in touched.collect()]
-                merged = new.unionByName(stored.filter(on_days(held)).select(*new.columns))
-            rows = clean.clean_orders(merged)
-            rows.write.mode("overwrite").parquet(f"{staged}/rows")
-            back = self.spark.read.schema(rows.schema).parquet(f"{staged}/rows")
-            days = back.select(DAY).distinct()
-            if touched is not None:
-                days = days.union(touched).distinct()
-            days.write.mode("overwrite").parquet(f"{staged}/days")
-        rows = zones.read_parquet(self.spark, f"{staged}/rows")
-        full = {r[0] for r in rows.select(DAY).distinct().collect()}
-        days = [r[0] for r in zones.read_parquet(self.spark, f"{staged}/days").collect()]
-        if full:
-            zones.write_by_day(rows, path, DAY)
-        for day in set(days) - full:
-            self._delete(f"{path}/{DAY}={_folder_name(day)}")
+                touched = [r[0] for r in fresh.select(DAY).union(copies).distinct().collect()]
+                merged = new.unionByName(stored.filter(on_days(touched)).select(*new.columns))
+            zones.write_by_day(clean.clean_orders(merged, few_copies=True), f"{staged}/rows", DAY)
+            full = [_day_of(s.getPath().getName()) for s in matching(self.spark, f"{staged}/rows/{DAY}=*")]
+            rows = [(d, d in full) for d in {*full, *touched}]
+            self.spark.createDataFrame(rows, f"{DAY} date, full boolean").coalesce(1).write.mode("overwrite").parquet(f"{staged}/days")
+        days = {r[DAY]: r["full"] for r in zones.read_parquet(self.spark, f"{staged}/days").collect()}
+        self._replace(f"{staged}/rows", path, [f"{DAY}={_folder_name(d)}" for d, full in days.items() if not full])
         return days
 
+    def _processed(self, days: dict[Day, bool]) -> DataFrame:
+        """All processed orders of some days."""
+        path, schema = self.lake.processed("orders"), self._order_schema()
+        folders = [f"{path}/{DAY}={_folder_name(day)}" for day, full in days.items() if full]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+    def _order_schema(self) -> T.StructType:
+        """The columns of processed orders, from their plan over no orders."""
+        return clean.clean_orders(self.spark.createDataFrame([], schemas.RAW_ORDER)).schema
+
     def _staged(self, run: int) -> str:
         return f"{self.lake.root}/staging/orders/run={run}"
 
@@ -144,24 +157,28 @@ class LakeRuns:
         old = self._partials(name, {d: r for d, r in latest.items() if d in changed})
         now = latest | {d: run for d in changed}
         new = self._partials(name, {d: run for d in changed})
-        delta = part.delta(old, new, run)
+        key = F.concat_ws("\u0001", *part.keys)
+        dealt = {BUCKET: bucket_of(key, self.buckets), SPLIT: self._split(key)}
+        delta = part.delta(old.withColumns(dealt), new.withColumns(dealt), run, BUCKET, SPLIT)
         if part.span is not None:
             delta = zones.stored(delta, f"run-{run}-{name}")
             if not delta.filter("full").isEmpty():
                 delta = part.respan(delta, self._partials(name, now))
-        self._state(name).add(delta.withColumn("bucket", self._bucket(name)), run)
+        self._state(name).add(delta, run, gathered=part.span is None)
 
-    def _bucket(self, name: str) -> Column:
-        return bucket_of(F.concat_ws("\u0001", *PARTS[name].keys), self.buckets)
+    def _split(self, key: Column) -> Column:
+        """A key's group within its bucket: a bucket's rows may be many, and few buckets meet in a task."""
+        return F.pmod(F.xxhash64(key, F.lit(SPLIT)), F.lit(max(1, GROUPS // self.buckets))).cast("int")
 
     def _state(self, name: str) -> Snapshot:
         part = PARTS[name]
         keys = ", ".join(f"{k} string" for k in part.keys)
         sums = ", ".join(f"{c} bigint" for c in part.added)
         ends = "" if part.span is None else ", first timestamp, last timestamp, full boolean, epoch bigint"
-        fold: Callable[[DataFrame], DataFrame] = lambda rows: part.fold(rows, "bucket")
+        split = self._split(F.concat_ws("\u0001", *part.keys))
+        fold: Callable[[DataFrame], DataFrame] = lambda rows: part.fold(rows.withColumn(SPLIT, split), BUCKET, SPLIT)
         return Snapshot(
-            self.spark, f"{self.lake.root}/state/{name}", f"{keys}, {sums}{ends}, bucket int", "bucket", fold, self.every
+            self.spark, f"{self.lake.root}/state/{name}", f"{keys}, {sums}{ends}, {BUCKET} int", BUCKET, fold, self.every, gathered=True
         )
 
     def _write_partials(self, name: str, rows: DataFrame, run: int) -> None:
@@ -193,8 +210,7 @@ class LakeRuns:
 
     def _partial_schema(self, name: str):
         """The columns of a table's partials, from its plan over no orders."""
-        none = self.spark.createDataFrame([], schemas.RAW_ORDER)
-        orders = clean.clean_orders(none)
+        orders = self.spark.createDataFrame([], self._order_schema())
         return (curated.daily_kpis(orders) if name == KPIS else PARTS[name].by_day(orders)).schema
 
     def _latest(self) -> dict[str, int]:
@@ -219,3 +235,18 @@ class LakeRuns:
     def _delete(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _replace(self, staged: str, into: str, gone: list[str]) -> None:
+        """Move the folders that are staged over those of the same name, and delete those that are gone."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        target = hadoop(into)
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = {p.getName(): p for p in (s.getPath() for s in matching(self.spark, f"{staged}/{DAY}=*"))}
+        for s in matching(self.spark, f"{into}/{DAY}=*"):
+            old = s.getPath()
+            if (name := old.getName()) in names or name in gone:
+                files.delete(old, True)
+        files.mkdirs(target)
+        for name, source in names.items():
+            if not files.rename(source, hadoop(target, name)):
+                raise OSError(f"{name} could not be moved to {into}")

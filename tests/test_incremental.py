@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.operators.partials import PARTS
 from marketlake.plans import batch_job
@@ -133,3 +134,37 @@ def test_empty_run(spark, tmp_path):
     put(tmp_path / "a", [])
     assert job.update(str(tmp_path / "a"), 0) == []
     assert job.table(KPIS).count() == 0 and job.table("customer_clv").count() == 0
+
+
+def test_a_run_that_breaks_off_while_days_are_moved(spark, tmp_path, monkeypatch):
+    job = LakeRuns(spark, zones.Lake(str(tmp_path / "lake")), buckets=2)
+    raws = [tmp_path / "a", tmp_path / "b"]
+    put(raws[0], [plain("x", 2), plain("y", 5)])
+    put(raws[1], [plain("x", 1), plain("v", 5, "c2"), plain("u", 9)])
+    job.update(str(raws[0]), 0)
+    real = LakeRuns._replace
+
+    def half(self, staged, into, gone):
+        kept = tmp_path / "kept"
+        (tmp_path / "lake/staging/orders/run=1/rows/order_date=2024-01-09").rename(kept)
+        real(self, staged, into, [])
+        kept.rename(tmp_path / "lake/staging/orders/run=1/rows/order_date=2024-01-09")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(LakeRuns, "_replace", half)
+        with pytest.raises(RuntimeError):
+            job.update(str(raws[1]), 1)
+    assert len(job.update(str(raws[1]), 1)) == 4
+    want = whole(spark, tmp_path / "whole", raws)
+    for name in (KPIS, *PARTS):
+        assert content(job.table(name)) == want[name], name
+
+
+def test_deltas_and_states_are_shuffled_once(spark):
+    """Rows come out of their sums dealt by bucket, and no rebalance follows."""
+    part = PARTS["product_interactions"]
+    keys = spark.range(10).select(F.lit("c").alias("customer_id"), F.col("id").cast("string").alias("product_id"))
+    rows = keys.select("*", *[F.lit(1).cast("bigint").alias(c) for c in part.added], F.lit(0).alias("bucket"), F.lit(1).alias("_split"))
+    for out in (part.delta(rows, rows, 1, "bucket", "_split"), part.fold(rows, "bucket", "_split")):
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

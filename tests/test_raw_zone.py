@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators import clean
+from marketlake.operators.velocity import MOST_BITS, may_be_among
 from marketlake.plans import lake_reports
 from marketlake.sources import lake as zones
 
@@ -44,3 +45,15 @@ def test_runs_have_compressed_messages_and_no_copy_of_them(spark, tmp_path, monk
     assert not made and not list(Path(tmp_path).rglob("*.txt"))
     found = [spark.read.text(str(tmp_path / f"raw/run={k}")).count() for k in range(lake_reports.RUNS)]
     assert found == [10, 10, 11]  # the 15th, of the second run, comes again in the third
+
+
+def test_orders_without_a_copy_are_not_shuffled(spark, tmp_path, rows):
+    """The same orders as by the plain way; only those of two ids travel."""
+    some = [(f"o{k}", str(k), TIMES[k % 5], "confirmed") for k in range(400)]
+    some += [("o3", "7", TIMES[0], "failed"), ("o3", "8", TIMES[0], "failed"), ("o9", "1", TIMES[2], "failed"), (None, "1", TIMES[0], "x")]
+    spark.createDataFrame(some, "order_id string, total string, created_at string, status string").write.json(str(tmp_path / "raw"))
+    raw = zones.read_ndjson(spark, str(tmp_path / "raw"), schemas.RAW_ORDER)
+    plain, few = clean.clean_orders(raw, F.lit(0)), clean.clean_orders(raw, F.lit(0), few_copies=True)
+    assert few.columns == plain.columns and rows(few) == rows(plain) and few.count() == 400
+    marked = may_be_among(raw, spark.createDataFrame([("o3",), ("o9",)], "order_id string"), ("order_id",), MOST_BITS, "copied")
+    assert 4 <= marked.filter("copied").count() < 40 and marked.count() == raw.count()
