@@ -243,3 +243,53 @@ def test_ip_matches_equal_the_plain_pattern():
     for _ in range(20_000):
         text = "".join(rng.choice("0123..  a") for _ in range(rng.randrange(30)))
         assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in plain.finditer(text)]
+
+
+def _reading(texts, order=None):
+    """Spelling and tokens of texts, and a mixer that has read them; `order` reorders the tokens."""
+    import numpy as np
+    import pyarrow as pa
+
+    words = lm_scoring.Words(pa.table({"text": pa.array([t.encode() for t in texts], pa.binary())}))
+    n = len(words.hashes)
+    spelling = lm_scoring.Spelling(words.letters(0, n))
+    tokens = np.insert(words.of, np.searchsorted(words.doc, np.arange(len(texts)), side="right"), n)
+    mixer = lm_scoring.Mixer()
+    mixer.read(spelling, tokens if order is None else tokens[order])
+    return spelling, tokens, mixer
+
+
+def test_model_reads_texts_in_their_order():
+    """Each step of the text is predicted from what stands before it, ends too; equal words of a step change nothing."""
+    import numpy as np
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["the", "Cat", "sat", f"w{rng.randrange(400)}"]) for _ in range(rng.randrange(200))) for _ in range(40)]
+    spelling, tokens, mixer = _reading(texts)
+    plain, sizes, k = lm_scoring.Mixer(), np.diff(np.append(spelling.begins, len(spelling.letters))), 0
+    while k < len(tokens):
+        most, rows = max(lm_scoring.ONLINE, plain.letters // lm_scoring.SHARE), []
+        while k < len(tokens) and (not rows or len(rows) + sizes[tokens[k]] <= most):
+            rows += range(spelling.begins[tokens[k]], spelling.begins[tokens[k]] + sizes[tokens[k]])
+            k += 1
+        rate = lm_scoring.RATE * min(1, lm_scoring.STEADY / len(rows))
+        plain._step_by(spelling.letters[rows], spelling.place[rows], spelling.contexts[:, rows], np.ones(len(rows)), rate)
+        plain.letters += len(rows)
+    assert mixer.letters == plain.letters == sum(len(t.split()) + sum(map(len, t.split())) for t in texts) + len(texts)
+    assert np.allclose(mixer.weights, plain.weights, atol=1e-4) and np.allclose(mixer.counts[3], plain.counts[3])
+    assert mixer.map.sum() == pytest.approx(plain.map.sum())
+    _, _, back = _reading(texts, np.arange(len(tokens))[::-1])
+    assert np.allclose(mixer.counts[3], back.counts[3]) and abs(mixer.weights - back.weights).max() > 1e-4
+    assert spelling.spelled(mixer)[-1] > -4  # ends are learned
+
+
+def test_order_of_words_reaches_the_scores(spark):
+    """The same words in another order within the texts train another model; the base stays."""
+    rng = random.Random(2)
+    texts = [[rng.choice(["the", "cat", "sat", f"w{rng.randrange(300)}"]) for _ in range(60)] for _ in range(60)]
+    make = lambda words: spark.createDataFrame([(i, " ".join(w), 1, "x") for i, w in enumerate(words)], DOCS)
+    one, two = (
+        {r.doc_id: r for r in lm_scoring.scores(make(words)).collect()} for words in (texts, [sorted(w) for w in texts])
+    )
+    assert all(one[i].base_score == pytest.approx(two[i].base_score) for i in one)
+    assert max(abs(one[i].score - two[i].score) for i in one) > 1e-3
