@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 from datetime import datetime
 
 import brute
@@ -293,3 +294,46 @@ def test_order_of_words_reaches_the_scores(spark):
     )
     assert all(one[i].base_score == pytest.approx(two[i].base_score) for i in one)
     assert max(abs(one[i].score - two[i].score) for i in one) > 1e-3
+
+
+def test_the_word_before_reaches_the_scores(spark):
+    """Equal words, each behind another one: behind its own fixed word it is likelier than in the wrong company."""
+    rng = random.Random(8)
+    make = lambda pairs: " ".join(w for a, b in pairs for w in (f"left{a}", f"right{b}"))
+    texts = [make([(k, k) for k in (rng.randrange(8) for _ in range(80))]) for _ in range(120)]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2][:120]
+    order = [rng.randrange(8) for _ in range(60)]
+    texts += [make([(k, k) for k in order]), make([(k, (k + 3) % 8) for k in order])]
+    rows = spark.createDataFrame([(i, x, 1, "x") for i, x in zip([*ids, *held], texts, strict=True)], DOCS)
+    got = {r.doc_id: r for r in lm_scoring.scores(rows).collect()}
+    usual, odd = (got[i] for i in held)
+    assert usual.n_tokens == odd.n_tokens == 121 and usual.base_score == pytest.approx(odd.base_score, rel=0.05)
+    assert usual.score > odd.score + 20
+
+
+def test_pairs_learn_and_lose_their_own_count():
+    """A pair read once is likelier than without its own count; chances of all next bytes behind a word add up to 1."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["the cat sat the cat ran", "a dog sat a dog ran"] * 20 + ["the zebra"]
+    words = lm_scoring.Words(pa.table({"text": pa.array([t.encode() for t in texts], pa.binary())}))
+    model, n = lm_scoring.Model(), len(words.hashes)
+    model.read(words, len(texts))
+    model = lm_scoring.Model.summed(iter([model.packed()]))
+    letters = words.letters(0, n)
+    spelling, names, said = lm_scoring.Spelling(letters), lm_scoring._names(letters), letters.tobytes().decode().split()
+    word = {w: k for k, w in enumerate(said)}
+    ask = np.array(sorted([word["cat"], word["cat"], word["zebra"], n]))
+    at = lambda w, before: (model.pairs.spelled(model.mixer, spelling, np.array([word[w]]), names[[word[before]]]))
+    assert at("cat", "the")[0] > at("cat", "dog")[0] + 0.5
+    every, less = model.pairs.spelled(model.mixer, spelling, ask, names[[word["the"], word["dog"], word["the"], word["ran"]]])
+    assert every.shape == less.shape == (4,) and (less <= every + 1e-6).all()
+    assert at("zebra", "the")[1] < at("zebra", "the")[0] - 1
+    one = lm_scoring.Spelling(np.zeros(0, np.uint8))
+    chance = 0.0
+    for b in range(256):
+        one.letters, one.place, one.begins = np.array([b], np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        chance += 10 ** model.pairs.spelled(model.mixer, one, np.zeros(1, np.int64), names[[word["the"]]])[0][0]
+    assert chance == pytest.approx(1, abs=1e-4)
