@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.config import RecoRules
@@ -61,7 +61,7 @@ def _shelf_list(products: DataFrame, n: int) -> DataFrame:
 def personal_pools(
     user_factors: DataFrame, item_factors: DataFrame, products: DataFrame, rules: RecoRules = RecoRules()
 ) -> DataFrame:
-    """(customer_id, pool): each user's best candidates in order, at most `max_pool`."""
+    """(customer_id, pool): each user's best candidates in order, at most `max_pool`, or `most` where the users have it."""
     top = top_scores(
         user_factors,
         item_factors,
@@ -96,19 +96,27 @@ def recommend(
 
     Equal requests have equal answers, so they are answered once; that also removes a customer
     who asks very often as a hot key. The two shared lists (200 and 20 entries at most) reach
-    the rows as scalar subqueries, so no cross join is needed. Candidates are filtered row by
-    row and cut to n per request before they are shuffled.
+    the rows as scalar subqueries, so no cross join is needed. A request's candidates stay a list in
+    its row: they are filtered and cut to n there, so no candidate is a row that is shuffled or sorted.
+    Of a customer's own list no more is made than its largest request reaches.
     """
     wanted = normalise_requests(requests, rules).select("customer_id", "n", F.col("category").alias("asked_category"))
     wanted = wanted.distinct()
-    asked = user_factors.join(wanted.select("customer_id").distinct(), "customer_id", "left_semi")
+    pool_size = F.least(F.col("n") * rules.pool_factor, F.lit(rules.max_pool))
+    asked = user_factors.join(wanted.groupBy("customer_id").agg(F.max(pool_size).alias("most")), "customer_id")
     pools = personal_pools(asked, item_factors, products, rules)
     popular = _popular_list(item_factors, products, rules.max_pool)
     shelf = _shelf_list(products, rules.max_n)
 
-    pool_size = F.least(F.col("n") * rules.pool_factor, F.lit(rules.max_pool))
-    own = F.slice(F.coalesce(F.col("pool"), popular.scalar()), F.lit(1), pool_size)
-    candidates = (
+    spend = F.col("spend")
+
+    def step(c: Column) -> Column:
+        fits = category_matches(c["category"], F.col("asked_category"))
+        return F.when(fits & _in_band(c["unit_price"], spend, rules.strict), 1).when(
+            fits & _in_band(c["unit_price"], spend, rules.relaxed), 2
+        )
+
+    answered = (
         wanted.join(pools, "customer_id", "left")
         .join(avg_spend, "customer_id", "left")
         .select(
@@ -117,32 +125,23 @@ def recommend(
             "asked_category",
             F.col("avg_spend_per_item").alias("spend"),
             F.when(F.col("pool").isNotNull(), "als_personalised").otherwise("als_popular").alias("model"),
-            F.posexplode_outer(F.concat(own, F.slice(shelf.scalar(), F.lit(1), F.col("n")))).alias("pos", "c"),
+            F.slice(F.coalesce(F.col("pool"), popular.scalar()), F.lit(1), pool_size).alias("own"),
         )
-        .select("*", "c.*")
-    )
-    spend, price = F.col("spend"), F.col("unit_price")
-    fits = category_matches(F.col("category"), F.col("asked_category"))
-    step = (
-        F.when(F.col("on_shelf"), 3)
-        .when(fits & _in_band(price, spend, rules.strict), 1)
-        .when(fits & _in_band(price, spend, rules.relaxed), 2)
+        .withColumn("stepped", F.transform("own", lambda c: F.struct(step(c).alias("step"), c.alias("c"))))
+        .withColumn("found", F.concat(F.filter("stepped", lambda s: s["step"] == 1), F.filter("stepped", lambda s: s["step"] == 2)))
+        .withColumn("found", F.slice(F.transform("found", lambda s: s["c"]), F.lit(1), F.col("n")))
+        .withColumn("on_shelf", F.size("found") == 0)
+        .withColumn("found", F.when(F.col("on_shelf"), F.slice(shelf.scalar(), F.lit(1), F.col("n"))).otherwise(F.col("found")))
     )
     request = ["customer_id", "n", "asked_category"]
-    order = Window.partitionBy(*request).orderBy("step", "pos")
-    rows = Window.partitionBy(*request)
-    ranked = (
-        candidates.withColumn("step", step)
-        .filter(F.col("step").isNotNull())
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= F.lit(rules.max_n))
-        .withColumn("best_step", F.min("step").over(rows))
-        .filter((F.col("rank") <= F.col("n")) & ((F.col("step") < 3) | (F.col("best_step") == 3)))
-    )
-    strategy = F.when(F.col("best_step") == 3, "catalog_fallback").otherwise(F.col("model"))
+    # The outer form: Spark would put a filter on the list's size before the plain one and make the list for it again.
+    ranked = answered.select(
+        *request, "spend", "model", F.col("on_shelf").alias("from_shelf"), F.size("found").alias("count"), F.posexplode_outer("found").alias("pos", "c")
+    ).filter(F.col("pos").isNotNull()).select(*request, "spend", "model", "from_shelf", "count", "c.*", (F.col("pos") + 1).alias("rank"))
+    strategy = F.when(F.col("from_shelf"), "catalog_fallback").otherwise(F.col("model"))
     return ranked.select(
         *request,
-        F.count(F.lit(1)).over(rows).cast("int").alias("count"),
+        "count",
         strategy.alias("strategy"),
         F.when(spend != 0.0, round_half_up(spend)).alias("avg_spend_per_item"),
         "product_id",

@@ -280,3 +280,39 @@ def test_ranking_measures_by_hand(spark):
     empty = evaluation.ranking_measures(top, held.limit(0)).first()
     assert (empty.pairs, empty.hits, empty.recall, empty.mean_rank) == (0, 0, None, None)
     assert evaluation.split_day(spark.createDataFrame([], "order_date date")) is None
+
+
+def test_candidates_of_a_request_are_not_rows(spark):
+    """No window over requests, and a customer's list is made no longer than its largest request reaches."""
+    users, items, products = model(spark)
+    frame = spark.createDataFrame([("u1", 1, None), ("u1", 2, "toys"), ("new", 2, None)], "customer_id string, n int, category string")
+    spend = spark.createDataFrame([], "customer_id string, avg_spend_per_item double")
+    out = recommend.recommend(frame, users, items, products, spend, RecoRules(pool_factor=1))
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    asked = users.join(spark.createDataFrame([("u1", 2), ("u2", 4)], "customer_id string, most int"), "customer_id")
+    pools = {r.customer_id: [c.product_id for c in r.pool] for r in recommend.personal_pools(asked, items, products).collect()}
+    assert pools == {"u1": ["e", "a"], "u2": ["c", "b", "e", "a"]}
+    assert {(r.customer_id, r.n, r["rank"], r.product_id) for r in out.collect()} == {
+        ("u1", 1, 1, "e"), ("u1", 2, 1, "e"), ("u1", 2, 2, "a"), ("new", 2, 1, "c"), ("new", 2, 2, "e")}
+
+
+def test_items_are_sent_once_to_each_task(spark):
+    """Users stay: whatever their blocks, an item is not copied for each of them."""
+    users = spark.createDataFrame([(u, [1.0, float(u)]) for u in range(900)], "customer_id bigint, factors array<double>")
+    items = spark.createDataFrame([(p, [1.0, float(p)]) for p in range(40)], "product_id bigint, factors array<double>")
+    out = scoring.top_scores(users, items, 2, user_block=10)
+    assert "CoGroup" not in out._jdf.queryExecution().toString() and "Window" not in out._jdf.queryExecution().toString()
+    assert {(r.customer_id, r.rank, r.product_id) for r in out.filter("customer_id in (0, 899)").collect()} == {(0, 1, 0), (0, 2, 1), (899, 1, 39), (899, 2, 38)}
+
+
+def test_equal_scores_and_repeated_ids(spark):
+    """Many equal scores are cut by product; rows that share a customer share one list."""
+    items = spark.createDataFrame([(p, [0.0, 1.0]) for p in range(3000)], "product_id bigint, factors array<double>")
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (None, [0.0, 2.0])], "customer_id bigint, factors array<double>")
+    got = {(r.customer_id, r["rank"]): (r.product_id, r.score) for r in scoring.top_scores(users, items, 3, item_block=700).collect()}
+    assert got == {(1, 1): (0, 0.0), (1, 2): (1, 0.0), (1, 3): (2, 0.0), (2, 1): (0, 1.0), (2, 2): (0, 1.0), (2, 3): (1, 1.0),
+                   (None, 1): (0, 2.0), (None, 2): (1, 2.0), (None, 3): (2, 2.0)}
+
+
+def test_blocks_of_a_fit_follow_its_ratings():
+    assert training.fit_blocks(1_000) == 10 and training.fit_blocks(70_000_000) == 70
