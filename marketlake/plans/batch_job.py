@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.functions.timefn import parse_ts
 from marketlake.operators import clean, curated
+from marketlake.operators.training import collecting
 from marketlake.sources import lake as zones
 
 
@@ -15,8 +16,14 @@ def run(spark: SparkSession, lake: zones.Lake) -> dict[str, int]:
     """Builds every table of the lake and returns the rows written to each.
 
     Each cleaned frame is written once and read back for what follows; row counts come from the
-    writes themselves. Failures are raised. An empty raw folder skips what depends on it.
+    writes themselves. Failures are raised. An empty raw folder skips what depends on it. The driver collects garbage
+    meanwhile, so that the shuffles of a table that is written do not lie beside those of the next.
     """
+    with collecting(spark):
+        return _run(spark, lake)
+
+
+def _run(spark: SparkSession, lake: zones.Lake) -> dict[str, int]:
     rows: dict[str, int] = {}
     clicks = zones.read_ndjson(spark, lake.raw("clickstream"), schemas.CLICK_EVENT)
     rows["clickstream"] = zones.write_unless_empty(
